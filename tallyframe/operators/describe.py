@@ -158,15 +158,15 @@ def domain_dispersion(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Count and share per non-null value."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    total = counts.agg(F.sum("count").alias("total"))
-    return counts.join(F.broadcast(total)).select(column, "count", (F.col("count") / F.col("total")).alias("share"))
+    total = counts.agg(F.sum("count")).scalar()
+    return counts.select(column, "count", (F.col("count") / total).alias("share"))
 
 
 def group_profile(df: DataFrame, by: str, means: Sequence[str] = (), medians: Sequence[str] = ()) -> DataFrame:
     """Size, share, means and exact medians per group."""
     sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("size"), *[F.avg(c).alias(f"{c}_mean") for c in means])
-    total = sizes.agg(F.sum("size").alias("total"))
-    profile = sizes.join(F.broadcast(total)).withColumn("percent", 100.0 * F.col("size") / F.col("total")).drop("total")
+    total = sizes.agg(F.sum("size")).scalar()
+    profile = sizes.withColumn("percent", 100.0 * F.col("size") / total)
     if medians:
         middle = exact_quantiles(df, medians, [0.5], [by]).groupBy(by).agg(
             *[F.max(F.when(F.col("variable") == c, F.col("q")[0])).alias(f"{c}_median") for c in medians]
@@ -208,10 +208,9 @@ def row_shares(df: DataFrame, rows: str, column: str, values: Sequence[object])
 def profile_zscores(profile: DataFrame, columns: Sequence[str], log1p: Sequence[str] = ()) -> DataFrame:
     """Z-score of each profile column across the groups (population deviation, 1 where it is 0)."""
     prepared = profile.withColumns({c: F.log1p(c) if c in log1p else F.col(c).cast("double") for c in columns})
-    stats = prepared.agg(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(f"{c}_stats") for c in columns])
-    spread = {c: F.when(F.col(f"{c}_stats.s") == 0, 1.0).otherwise(F.col(f"{c}_stats.s")) for c in columns}
-    scored = prepared.join(F.broadcast(stats)).withColumns({c: (F.col(c) - F.col(f"{c}_stats.m")) / spread[c] for c in columns})
-    return scored.drop(*[f"{c}_stats" for c in columns])
+    means = {c: prepared.agg(F.avg(c)).scalar() for c in columns}
+    spreads = {c: prepared.agg(F.stddev_pop(c)).scalar() for c in columns}
+    return prepared.withColumns({c: (F.col(c) - means[c]) / F.when(spreads[c] == 0, 1.0).otherwise(spreads[c]) for c in columns})
 
 
 def unpivoted(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:
