@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -108,30 +109,28 @@ def with_fences(table: DataFrame, q1: str = "q1", q3: str = "q3") -> DataFrame:
     )
 
 
-def describe_with_outliers(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float] = SUMMARY_PERCENTILES) -> DataFrame:
+def describe_with_outliers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), percentiles: Sequence[float] = SUMMARY_PERCENTILES) -> DataFrame:
     """Description plus fences and the number of values strictly outside them."""
-    table = with_fences(describe(df, columns, percentiles=percentiles))
-    return table.join(_outlier_counts(df, columns, table), "variable", "left")
+    keys = [*by, "variable"]
+    table = with_fences(describe(df, columns, by, percentiles))
+    fences = with_fences(quantile_columns(df, columns, {"q1": 0.25, "q3": 0.75}, by)).select(*keys, "lower_fence", "upper_fence")
+    outside = (F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence"))
+    counts = attach(long_form(df, columns, by), fences, keys).groupBy(*keys).agg(F.count_if(outside).alias("outlier_count"))
+    return table.join(counts, keys, "left")
 
 
-def _outlier_counts(df: DataFrame, columns: Sequence[str], fences: DataFrame) -> DataFrame:
-    outside = (F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence"))
-    placed = attach(long_form(df, columns), fences.select("variable", "lower_fence", "upper_fence"), ["variable"])
-    return placed.groupBy("variable").agg(F.count_if(outside).alias("outlier_count"))
+def stacked(states: Mapping[str, DataFrame], columns: Sequence[str]) -> DataFrame:
+    """Named states of the data one below the other."""
+    parts = [frame.select(F.lit(state).alias("state"), *columns) for state, frame in states.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def before_after(states: Mapping[str, DataFrame], columns: Sequence[str]) -> DataFrame:
-    """The same statistics for each named state of the data, stacked."""
-    kept = ["count", "missing", "mean", "median", "std_sample", "min", "q1", "q3", "max", "skewness",
-            "lower_fence", "upper_fence", "outlier_count"]
-    parts = [
-        describe_with_outliers(frame, columns, percentiles=()).select(F.lit(state).alias("state"), "variable", *kept)
-        for state, frame in states.items()
-    ]
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
-    return table
+    """The same statistics for each named state of the data."""
+    return describe_with_outliers(stacked(states, columns), columns, ["state"], percentiles=()).select(
+        "state", "variable", "count", "missing", "mean", "median", "std_sample", "min", "q1", "q3", "max", "skewness",
+        "lower_fence", "upper_fence", "outlier_count",
+    )
 
 
 def raw_filled_log(raw: DataFrame, filled: DataFrame, logged: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import number
+from .describe import stacked
 from .ordering import attach, exact_quantiles, long_form, ordered_counts, sturges_classes
 from .prepare import quantile_trim
 
@@ -89,11 +90,8 @@ def trimmed_ecdf(df: DataFrame, column: str, by: Sequence[str] = (), low: float
 def order_statistics(states: Mapping[str, DataFrame], columns: Sequence[str], points: int = 100) -> DataFrame:
     """The sorted-value curve of each state at ``points`` + 1 evenly spaced probabilities."""
     probs = [i / points for i in range(points + 1)]
-    table = None
-    for state, frame in states.items():
-        curve = exact_quantiles(frame, columns, probs).select(F.lit(state).alias("state"), "variable", F.posexplode("q").alias("step", "value"))
-        table = curve if table is None else table.unionByName(curve)
-    return table
+    curve = exact_quantiles(stacked(states, columns), columns, probs, ["state"])
+    return curve.select("state", "variable", F.posexplode("q").alias("step", "value"))
 
 
 def kernel_density(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), grid: int = KDE_GRID) -> DataFrame:

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from ..functions.scalar import number
 
 SUBCELLS = 256
+# Groups up to this size keep every value; beyond it a bracket is wider than the sketch error plus two ranks.
+KEEP_ALL_ROWS = 20_000
 RANK_CUTS = 31
 RANK_SUBCELLS = 32
 
@@ -92,9 +94,9 @@ def exact_quantiles(
     """
     keys = [*by, "variable"]
     rows = long_form(df, columns, by).where(F.col("value").isNotNull())
-    margin = 2.0 / accuracy
+    margin = 4.0 / accuracy
     interior = sorted({p + s for p in probs for s in (-margin, margin) if 0 < p + s < 1})
-    sketch = [F.min("value").alias("smallest"), F.max("value").alias("largest")]
+    sketch = [F.count("value").alias("rows"), F.min("value").alias("smallest"), F.max("value").alias("largest")]
     if interior:
         sketch.append(F.percentile_approx("value", interior, accuracy).alias("approx"))
     brackets = rows.groupBy(*keys).agg(*sketch)
@@ -106,11 +108,12 @@ def exact_quantiles(
             return F.col("largest")
         return F.col("approx")[interior.index(p)]
 
+    few = F.col("rows") <= KEEP_ALL_ROWS
     lows, highs = [p - margin for p in probs], [p + margin for p in probs]
     brackets = brackets.select(
         *keys,
-        F.array(*[bound(p) for p in lows]).alias("lows"),
-        F.array(*[bound(p) for p in highs]).alias("highs"),
+        F.when(few, F.array("smallest")).otherwise(F.array(*[bound(p) for p in lows])).alias("lows"),
+        F.when(few, F.array("largest")).otherwise(F.array(*[bound(p) for p in highs])).alias("highs"),
     ).withColumn("edges", F.array_sort(F.array_distinct(F.concat("lows", "highs"))))
     # The open stretch between two neighbouring edges lies in a bracket as a whole or not at all.
     between = F.transform(
@@ -133,24 +136,25 @@ def exact_quantiles(
     cells = placed.groupBy(*keys, "cell", "sub", "value").agg(F.count(F.lit(1)).alias("n"))
     ranked = _with_ranks(cells, keys).where(F.col("value").isNotNull())
 
-    def at_rank(rank: Column) -> Column:
-        hit = (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
-        return F.min(F.when(hit, F.col("value")))
+    points = F.array(*[F.lit(float(p)) for p in probs])
 
-    picks = []
-    for i, p in enumerate(probs):
-        position = (F.col("total") - 1) * F.lit(float(p))
-        picks += [at_rank(F.floor(position)).alias(f"lo{i}"), at_rank(F.ceil(position)).alias(f"hi{i}")]
-    chosen = ranked.groupBy(*keys).agg(F.max("total").alias("n_values"), *picks)
+    def place(total: Column, p: Column) -> Column:
+        return (total - 1) * p
 
-    def blend(i: int, p: float) -> Column:
-        position = (F.col("n_values") - 1) * F.lit(float(p))
-        low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
-        mixed = low + (high - low) * (position - F.floor(position))
+    wanted = F.array_distinct(F.flatten(F.transform(points, lambda p: F.array(F.floor(place(F.col("total"), p)), F.ceil(place(F.col("total"), p))))))
+    here = F.filter(wanted, lambda r: (F.col("before") <= r) & (r < F.col("before") + F.col("n")))
+    hits = ranked.select(*keys, "total", "value", F.explode(here).alias("rank"))
+    chosen = hits.groupBy(*keys).agg(
+        F.max("total").alias("total"), F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"),
+    )
+
+    def blend(p: Column) -> Column:
+        position = place(F.col("total"), p)
+        low, high = F.try_element_at("at", F.floor(position)), F.try_element_at("at", F.ceil(position))
         missed = F.raise_error(F.lit("quantile bracket missed its rank; raise accuracy")).cast("double")
-        return F.when(low.isNotNull() & high.isNotNull(), mixed).otherwise(missed)
+        return F.coalesce(low + (high - low) * (position - F.floor(position)), missed)
 
-    return chosen.select(*keys, F.array(*[blend(i, p) for i, p in enumerate(probs)]).alias("q"))
+    return chosen.select(*keys, F.transform(points, blend).alias("q"))
 
 
 def fitted_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
