@@ -61,7 +61,8 @@ def inertia(df: DataFrame, cluster: str = "cluster", features: str = "features")
 def calinski_harabasz(df: DataFrame, cluster: str = "cluster", features: str = "features") -> DataFrame:
     within = _with_centroids(df, cluster, features).agg(F.sum("sq")).scalar()
     overall = df.agg(vector_to_array(Summarizer.mean(array_to_vector(F.col(features))))).scalar()
-    spread = group_centroids(df, cluster, features).withColumn("away", F.col("size") * squared_distance(F.col("centroid"), overall))
+    placed = group_centroids(df, cluster, features).withColumn("overall", overall)
+    spread = placed.withColumn("away", F.col("size") * squared_distance(F.col("centroid"), F.col("overall")))
     figures = spread.agg(F.sum("away").alias("between"), F.count(F.lit(1)).alias("k"), F.sum("size").alias("n"))
     ratio = (F.col("between") / (F.col("k") - 1)) / (within / (F.col("n") - F.col("k")))
     return figures.select(ratio.alias("calinski_harabasz"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import panel_queries, prepare_queries, profile_queries  # noqa: F401
+from . import model_queries, panel_queries, prepare_queries, profile_queries  # noqa: F401
 from .catalog import ORACLES, QUERIES, Query
 
 
