@@ -15,6 +15,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import held_for_training
 from .sampling import uniform_sample
 
 # Sweep range, silhouette margin of the session rule, density-search scoring.
@@ -124,9 +125,10 @@ def silhouette(df: DataFrame, key: str, cluster: str = "cluster", features: str
 
 
 def fit_kmeans(df: DataFrame, k: int, features: str = "features", seeds: Sequence[int] = (42, 43), max_iter: int = 100):
-    """Best of several seeded fits by training cost. ``df`` is read once per iteration: cache it first."""
-    vectors = df.select(array_to_vector(F.col(features)).alias("vector"))
+    """Best of several seeded fits by training cost."""
+    vectors = held_for_training(df.select(array_to_vector(F.col(features)).alias("vector")))
     fits = [KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="vector", predictionCol="cluster").fit(vectors) for s in seeds]
+    vectors.unpersist()
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
@@ -144,14 +146,16 @@ def kmeans_sweep(df: DataFrame, key: str, k_values: Sequence[int] = K_RANGE, fea
                  seeds: Sequence[int] = (42, 43), sample_size: int = 10_000, max_iter: int = 100):
     """Fit every K on all rows; the table of measures and the fitted models by K."""
     rows, models = [], {}
+    df = held_for_training(df.select(key, features))
     for k in k_values:
         model = fit_kmeans(df, k, features, seeds, max_iter)
-        labelled = predict(model, df.select(key, features), features)
+        labelled = predict(model, df, features)
         models[k] = model
         rows.append((
             k, float(model.summary.trainingCost), silhouette(labelled, key, features=features, sample_size=sample_size).first()[0],
             calinski_harabasz(labelled, features=features).first()[0], davies_bouldin(labelled, features=features).first()[0],
         ))
+    df.unpersist()
     table = df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, calinski_harabasz double, davies_bouldin double")
     return table, models
 
@@ -234,8 +238,10 @@ def choose_eps(search: DataFrame) -> DataFrame:
 
 def divisive_hierarchy(df: DataFrame, k: int, features: str = "features", seed: int = 42, max_iter: int = 40):
     """Top-down hierarchy cut at K on all rows: splits the loosest cluster until K remain."""
-    vectors = df.select(array_to_vector(F.col(features)).alias("vector"))
-    return BisectingKMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="vector", predictionCol="cluster").fit(vectors)
+    vectors = held_for_training(df.select(array_to_vector(F.col(features)).alias("vector")))
+    model = BisectingKMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="vector", predictionCol="cluster").fit(vectors)
+    vectors.unpersist()
+    return model
 
 
 def stability_table(labelled: DataFrame, key: str, algorithms: Sequence[str], split: str = "split", features: str = "features",

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import held_for_training
 from .metrics import regression_metrics, summary_metrics
 from .prepare import MedianImputer, ModeImputer, ZScaler
 from .splits import feature_columns, stratified_split
@@ -127,7 +128,8 @@ def classification_experiments(df: DataFrame, targets: Mapping[str, object], key
         labelled = stratified_split(df.where(F.col(target).isNotNull()), target, key).withColumn("label", (F.col(target) == F.lit(positive)).cast("double"))
         train = labelled.where(F.col("split") == "train")
         prep = fit_preprocessor(train, *split_columns(df, features))
-        ready = prep.transform(labelled).select(*key, "split", "label", "features_vector").persist()
+        ready = prep.transform(labelled).select(*key, "split", "label", "features_vector")
+        ready = held_for_training(ready)
         fit_rows = balanced_weights(ready.where(F.col("split") == "train"), "label")
         for name, estimator in (("logistic_regression", logistic(fit_rows.count(), max_iter)), ("random_forest", forest_classifier(trees, depth))):
             scored = estimator.fit(fit_rows).transform(ready)
@@ -160,8 +162,10 @@ def fit_regressors(train: DataFrame, test: DataFrame, numeric: Sequence[str], ca
             continue
         def fit():
             prep = fit_preprocessor(train, numeric, categorical, encode, scale)
-            rows = prep.transform(train).select("features_vector", F.col(target).cast("double").alias("label"))
-            return PipelineModel(stages=[*prep.stages, estimator.fit(rows)])
+            rows = held_for_training(prep.transform(train).select("features_vector", F.col(target).cast("double").alias("label")))
+            model = estimator.fit(rows)
+            rows.unpersist()
+            return PipelineModel(stages=[*prep.stages, model])
 
         kept = scored.columns
         fitted[name], fit_seconds = _timed(fit)
@@ -181,7 +185,7 @@ def stacked_predictions(scored: DataFrame, models: Sequence[str], actual: str =
 def expanding_cv(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str = "target_close_next", trees: int = REGRESSOR_CV_TREES,
                  depth: int = REGRESSOR_DEPTH, max_bins: int = 64, models: Sequence[str] = ("linear_regression", "random_forest")) -> DataFrame:
     """Per fold: fit on earlier target dates, score the fold; metrics and timings per (fold, model)."""
-    cached = train.persist()
+    cached = held_for_training(train)
     folds = sorted(r["cv_fold"] for r in cached.where("cv_fold > 0").select("cv_fold").distinct().collect())
     parts, timings = [], []
     for fold in folds:

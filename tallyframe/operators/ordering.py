@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,6 +81,53 @@ def _with_ranks(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _placed_by_join(rows: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Cell, subcell and kept value of each row, with the brackets of its group joined to it."""
+    value, edges = F.col("value"), F.col("edges")
+    return (
+        attach(rows, brackets, keys)
+        .withColumn("cell", _below(edges, value))
+        .withColumn("kept", F.coalesce(F.get("between", F.col("cell")) | (F.get(edges, F.col("cell")) == value), F.lit(False)))
+        .withColumn("sub", F.when(F.col("kept"), _subcell(edges, F.col("cell"), value, SUBCELLS)).otherwise(-1))
+        .withColumn("value", F.when(F.col("kept"), value))
+    )
+
+
+def _placed_by_search(df: DataFrame, columns: Sequence[str], brackets: DataFrame) -> DataFrame:
+    """The same for ungrouped variables: one short row per column is read and searched by ``Bucketizer``.
+
+    A cell here holds its left edge instead of its right one, so rows that are not kept sort last in it.
+    """
+    found = {r["variable"]: r for r in brackets.collect()}
+    names = [c for c in columns if c in found]
+    if not names:
+        return df.sparkSession.createDataFrame([], "variable string, cell int, sub int, value double")
+    infinity = float("inf")
+    if any(abs(e) == infinity for c in names for e in found[c]["edges"]):
+        rows = long_form(df, columns).where(F.col("value").isNotNull())
+        return _placed_by_join(rows, brackets, ["variable"])
+    splits = [[-infinity, *found[c]["edges"], infinity] for c in names]
+    values = df.select(*[F.coalesce(number(c), F.lit(float("nan"))).alias(f"v{i}") for i, c in enumerate(names)])
+    searched = Bucketizer(splitsArray=splits, inputCols=[f"v{i}" for i in range(len(names))],
+                          outputCols=[f"c{i}" for i in range(len(names))], handleInvalid="keep").transform(values)
+
+    def place(i: int, c: str) -> Column:
+        edges, between, value, cell = list(found[c]["edges"]), list(found[c]["between"]), F.col(f"v{i}"), F.col(f"c{i}").cast("int")
+        inside = F.get(F.array(*[F.lit(bool(b)) for b in [*between, False]]), cell)
+        starts = F.array(*[F.lit(float(e)) for e in [edges[0], *edges]])
+        widths = [b - a for a, b in zip(edges, edges[1:])]
+        scales = F.array(*[F.lit(s) for s in [0.0, *(SUBCELLS / w for w in widths), 0.0]])
+        kept = inside | (value == F.get(starts, cell))
+        sub = F.floor((value - F.get(starts, cell)) * F.get(scales, cell)).cast("int")
+        return F.struct(
+            F.lit(c).alias("variable"), F.when(~F.isnan(value), cell).alias("cell"),
+            F.when(kept, sub).otherwise(SUBCELLS + 1).alias("sub"), F.when(kept, value).alias("value"),
+        )
+
+    placed = searched.select(F.inline(F.array(*[place(i, c) for i, c in enumerate(names)])))
+    return placed.where(F.col("cell").isNotNull())
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -125,14 +173,7 @@ def exact_quantiles(
     )
     brackets = brackets.select(*keys, "edges", between.alias("between"))
 
-    value, edges = F.col("value"), F.col("edges")
-    placed = (
-        attach(rows, brackets, keys)
-        .withColumn("cell", _below(edges, value))
-        .withColumn("kept", F.coalesce(F.get("between", F.col("cell")) | (F.get(edges, F.col("cell")) == value), F.lit(False)))
-        .withColumn("sub", F.when(F.col("kept"), _subcell(edges, F.col("cell"), value, SUBCELLS)).otherwise(-1))
-        .withColumn("value", F.when(F.col("kept"), value))
-    )
+    placed = _placed_by_join(rows, brackets, keys) if by else _placed_by_search(df, columns, brackets)
     cells = placed.groupBy(*keys, "cell", "sub", "value").agg(F.count(F.lit(1)).alias("n"))
     ranked = _with_ranks(cells, keys).where(F.col("value").isNotNull())
 

@@ -49,3 +49,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
     use_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def held_for_training(df: DataFrame) -> DataFrame:
+    """Cache rows an iterative fit reads many times, spread over every core.
+
+    Small inputs arrive in one or two partitions after adaptive coalescing and would train on one
+    core; inputs with enough partitions are left as they are. The caller unpersists.
+    """
+    cached = df.persist()
+    cached.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if cached.rdd.getNumPartitions() >= cores:
+        return cached
+    spread = cached.repartition(cores).persist()
+    spread.count()
+    cached.unpersist()
+    return spread
