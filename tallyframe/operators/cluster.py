@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import held_for_training
+from .ordering import broadcast_if_small
 from .sampling import uniform_sample
 
 # Sweep range, silhouette margin of the session rule, density-search scoring.
@@ -50,7 +51,7 @@ def group_centroids(df: DataFrame, cluster: str = "cluster", features: str = "fe
 
 
 def _with_centroids(df: DataFrame, cluster: str, features: str) -> DataFrame:
-    joined = df.join(group_centroids(df, cluster, features), cluster)
+    joined = df.join(broadcast_if_small(group_centroids(df, cluster, features)), cluster)
     return joined.withColumn("sq", squared_distance(F.col(features), F.col("centroid")))
 
 

@@ -24,6 +24,7 @@ SUBCELLS = 256
 # Groups up to this size keep every value; beyond it a bracket is wider than the sketch error plus two ranks.
 KEEP_ALL_ROWS = 20_000
 RANK_CUTS = 31
+BROADCAST_ROWS = 10_000
 RANK_SUBCELLS = 32
 
 
@@ -35,14 +36,22 @@ def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     return picked.unpivot(list(by), list(columns), "variable", "value")
 
 
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Run a parameter frame once; broadcast it when it has at most ``limit`` rows, else leave it to a shuffle join."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def attach(rows: DataFrame, parameters: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join a parameter frame to rows.
+    """Equi-join a parameter frame to rows without moving the rows where that is possible.
 
     A frame keyed by ``variable`` alone has one row per column of the schema, so it is broadcast.
-    With group keys its size is unknown and the adaptive planner decides from its real size.
+    With group keys the number of groups is checked first; many groups fall back to a shuffle join,
+    where adaptive execution splits a hot group.
     """
-    if list(keys) == ["variable"]:
-        parameters = F.broadcast(parameters)
+    parameters = F.broadcast(parameters) if list(keys) == ["variable"] else broadcast_if_small(parameters)
     return rows.join(parameters, list(keys), how)
 
 

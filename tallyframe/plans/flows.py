@@ -14,6 +14,7 @@ from ..operators import modeling as md
 from ..operators import panel as pn
 from ..operators import splits as sp
 from ..operators import validate as v
+from ..session import held_for_training
 from ..operators.describe import group_profile
 from ..operators.metrics import regression_metrics
 from ..operators.prepare import ZScaler
@@ -40,6 +41,7 @@ class Forecast:
 
 def forecast(ready: DataFrame, trees: int = md.REGRESSOR_TREES, depth: int = md.REGRESSOR_DEPTH, models: Sequence[str] = ("linear_regression", "random_forest")) -> Forecast:
     """Fit on the train split and score the test split against the persistence baseline."""
+    ready = held_for_training(ready)
     train, test = (ready.where(F.col("split") == s) for s in ("train", "test"))
     scored, fitted, seconds = md.fit_regressors(train, test, FORECAST_NUMERIC, ["Name"], trees=trees, depth=depth, models=models)
     metrics = regression_metrics(md.stacked_predictions(scored, ["naive", *models]), "actual", "predicted", ["model"])
@@ -87,7 +89,7 @@ def session_density(bars: DataFrame, min_samples: int = 12, eps_quantile: float
     from ..operators.ordering import fitted_quantiles
     from ..operators.sampling import uniform_sample
 
-    sessions = standardised_sessions(bars)
+    sessions = v.assert_unique(standardised_sessions(bars), ["id"])
     placed, _ = pca_coordinates(sessions, [f"{c}_z" for c in pn.SESSION_FEATURES], ["id"])
     placed = placed.persist()
     # The point itself is the zeroth neighbour here, so the k-th other point is asked for.
