@@ -2,9 +2,10 @@
 
 Both primitives work on the long form ``(by..., variable, value)``:
 
-* ``exact_quantiles`` brackets every requested rank with the built-in quantile sketch, collapses
-  everything outside the brackets to counts on the map side, and orders only the bracketed values.
-  The data is scanned twice and never shuffled whole.
+* ``exact_quantiles`` first counts each group and sketches its quantiles. Where every group is small
+  the built-in exact percentile finishes. Otherwise the sketch brackets each requested rank,
+  everything outside the brackets collapses to counts on the map side, and only the bracketed values
+  are ordered. The data is scanned twice and never shuffled whole.
 * ``ordered_counts`` needs every distinct value (ranks, empirical distribution functions). It
   collapses copies to counts, cuts the value range into buckets and adds bucket offsets, so a
   window never spans more than one bucket.
@@ -23,6 +24,8 @@ from ..functions.scalar import number
 SUBCELLS = 256
 # Groups up to this size keep every value; beyond it a bracket is wider than the sketch error plus two ranks.
 KEEP_ALL_ROWS = 20_000
+# Groups counted at no more than this go to the built-in exact percentile, which holds a group's distinct values.
+SMALL_ROWS = 200_000
 RANK_CUTS = 31
 BROADCAST_ROWS = 10_000
 RANK_SUBCELLS = 32
@@ -94,7 +97,7 @@ def _placed_by_join(rows: DataFrame, brackets: DataFrame, keys: Sequence[str]) -
     """Cell, subcell and kept value of each row, with the brackets of its group joined to it."""
     value, edges = F.col("value"), F.col("edges")
     return (
-        attach(rows, brackets, keys)
+        rows.join(brackets, list(keys))
         .withColumn("cell", _below(edges, value))
         .withColumn("kept", F.coalesce(F.get("between", F.col("cell")) | (F.get(edges, F.col("cell")) == value), F.lit(False)))
         .withColumn("sub", F.when(F.col("kept"), _subcell(edges, F.col("cell"), value, SUBCELLS)).otherwise(-1))
@@ -114,7 +117,7 @@ def _placed_by_search(df: DataFrame, columns: Sequence[str], brackets: DataFrame
     infinity = float("inf")
     if any(abs(e) == infinity for c in names for e in found[c]["edges"]):
         rows = long_form(df, columns).where(F.col("value").isNotNull())
-        return _placed_by_join(rows, brackets, ["variable"])
+        return _placed_by_join(rows, F.broadcast(brackets), ["variable"])
     splits = [[-infinity, *found[c]["edges"], infinity] for c in names]
     values = df.select(*[F.coalesce(number(c), F.lit(float("nan"))).alias(f"v{i}") for i, c in enumerate(names)])
     searched = Bucketizer(splitsArray=splits, inputCols=[f"v{i}" for i in range(len(names))],
@@ -143,6 +146,7 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     accuracy: int = 10_000,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Linear-interpolated quantiles per (by, variable) as the array column ``q`` in ``probs`` order.
 
@@ -165,6 +169,13 @@ def exact_quantiles(
             return F.col("largest")
         return F.col("approx")[interior.index(p)]
 
+    sizes = brackets.select(*keys, "rows", "smallest", "largest", *(["approx"] if interior else []))
+    found = sizes.limit(BROADCAST_ROWS + 1).collect()
+    if len(found) <= BROADCAST_ROWS:
+        if all(r["rows"] <= small_rows for r in found):
+            return rows.groupBy(*keys).agg(F.percentile("value", [float(p) for p in probs]).alias("q"))
+        brackets = df.sparkSession.createDataFrame(found, sizes.schema)
+
     few = F.col("rows") <= KEEP_ALL_ROWS
     lows, highs = [p - margin for p in probs], [p + margin for p in probs]
     brackets = brackets.select(
@@ -182,7 +193,11 @@ def exact_quantiles(
     )
     brackets = brackets.select(*keys, "edges", between.alias("between"))
 
-    placed = _placed_by_join(rows, brackets, keys) if by else _placed_by_search(df, columns, brackets)
+    if by:
+        known = F.broadcast(brackets) if len(found) <= BROADCAST_ROWS else brackets
+        placed = _placed_by_join(rows, known, keys)
+    else:
+        placed = _placed_by_search(df, columns, brackets)
     cells = placed.groupBy(*keys, "cell", "sub", "value").agg(F.count(F.lit(1)).alias("n"))
     ranked = _with_ranks(cells, keys).where(F.col("value").isNotNull())
 

@@ -10,6 +10,7 @@ from ..operators import frequency as fq
 from ..operators import outliers as o
 from ..operators import relate as rel
 from ..operators import validate as v
+from ..operators.ordering import exact_quantiles
 from ..sources.tables import read_table
 from . import frames as fr
 from .catalog import query
@@ -139,6 +140,27 @@ def _(spark, folder):
     return o.iqr_fences(fr.lines(spark, folder), N4)
 
 
+SELECTED = f"""WITH {fr.LINES}, long AS (SELECT l_returnflag, variable, value FROM ({fr.long_sql("li", N4, "l_returnflag")}))
+SELECT {{keys}} variable, quantile_cont(value, 0.01) AS p01, quantile_cont(value, 0.25) AS q1, median(value) AS median, quantile_cont(value, 0.75) AS q3, quantile_cont(value, 0.99) AS p99 FROM long GROUP BY ALL"""
+SELECTED_PROBS = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+def _selected(spark, folder, by=()):
+    """Quantiles by bracketed selection, the way large groups are handled, whatever the table size."""
+    wanted = exact_quantiles(fr.lines(spark, folder), N4, SELECTED_PROBS, by, small_rows=0)
+    return wanted.select(*by, "variable", *[F.col("q")[i].alias(n) for i, n in enumerate(("p01", "q1", "median", "q3", "p99"))])
+
+
+@query("a3_selected_quantiles", SELECTED.replace("{keys}", ""), "p01 q1 median q3 p99")
+def _(spark, folder):
+    return _selected(spark, folder)
+
+
+@query("a3_selected_quantiles_by_group", SELECTED.replace("{keys}", "l_returnflag,"), "p01 q1 median q3 p99")
+def _(spark, folder):
+    return _selected(spark, folder, ["l_returnflag"])
+
+
 @query("a4_outlier_summary", FENCED + """SELECT variable, q1, q3, lower_fence, upper_fence, count(*) FILTER (WHERE value < lower_fence OR value > upper_fence) AS outlier_count,
   count(*) FILTER (WHERE value < lower_fence OR value > upper_fence) / count(*)::DOUBLE AS outlier_share FROM placed GROUP BY ALL""", "q1 q3 lower_fence upper_fence outlier_share")
 def _(spark, folder):

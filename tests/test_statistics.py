@@ -29,15 +29,17 @@ def big(spark):
     return df.persist(), pdf
 
 
-def test_quantiles_match_numpy_beyond_the_keep_all_size(big):
+@pytest.mark.parametrize("small_rows", [0, 10**6])
+def test_quantiles_match_numpy(big, small_rows):
     df, pdf = big
-    for row in exact_quantiles(df, ["hot", "tail", "gappy"], PROBS).collect():
+    for row in exact_quantiles(df, ["hot", "tail", "gappy"], PROBS, small_rows=small_rows).collect():
         assert np.allclose(row["q"], np.nanquantile(pdf[row["variable"]], PROBS), rtol=1e-12)
 
 
-def test_grouped_quantiles(big):
+@pytest.mark.parametrize("small_rows", [0, 10**6])
+def test_grouped_quantiles(big, small_rows):
     df, pdf = big
-    got = {(r["g"], r["variable"]): r["q"] for r in exact_quantiles(df, ["hot", "tail"], PROBS, ["g"]).collect()}
+    got = {(r["g"], r["variable"]): r["q"] for r in exact_quantiles(df, ["hot", "tail"], PROBS, ["g"], small_rows=small_rows).collect()}
     for (g, c), q in got.items():
         assert np.allclose(q, np.quantile(pdf.loc[pdf.g == g, c], PROBS), rtol=1e-12)
     assert len(got) == 4
@@ -45,14 +47,15 @@ def test_grouped_quantiles(big):
 
 def test_quantiles_do_not_depend_on_partitions(big):
     df, _ = big
-    one = exact_quantiles(df.coalesce(1), ["tail"], [0.333]).first()["q"]
-    assert one == exact_quantiles(df.repartition(13), ["tail"], [0.333]).first()["q"]
+    one = exact_quantiles(df.coalesce(1), ["tail"], [0.333], small_rows=0).first()["q"]
+    assert one == exact_quantiles(df.repartition(13), ["tail"], [0.333], small_rows=0).first()["q"]
 
 
 def test_quantiles_of_tiny_empty_and_infinite_columns(spark):
     df = spark.createDataFrame([(1.0, None, float("inf")), (4.0, None, 2.0), (2.0, None, 3.0)], "a double, b double, c double")
-    got = {r["variable"]: r["q"] for r in exact_quantiles(df, ["a", "b", "c"], [0.0, 0.5]).collect()}
-    assert got == {"a": [1.0, 2.0], "c": [2.0, 3.0]}
+    for small_rows in (0, 10):
+        got = {r["variable"]: r["q"] for r in exact_quantiles(df, ["a", "b", "c"], [0.0, 0.5], small_rows=small_rows).collect()}
+        assert got == {"a": [1.0, 2.0], "c": [2.0, 3.0]}
     assert exact_quantiles(df, ["b"], [0.5]).collect() == []
 
 
