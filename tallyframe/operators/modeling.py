@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -183,17 +185,26 @@ def stacked_predictions(scored: DataFrame, models: Sequence[str], actual: str =
 
 
 def expanding_cv(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str = "target_close_next", trees: int = REGRESSOR_CV_TREES,
-                 depth: int = REGRESSOR_DEPTH, max_bins: int = 64, models: Sequence[str] = ("linear_regression", "random_forest")) -> DataFrame:
-    """Per fold: fit on earlier target dates, score the fold; metrics and timings per (fold, model)."""
+                 depth: int = REGRESSOR_DEPTH, max_bins: int = 64, models: Sequence[str] = ("linear_regression", "random_forest"),
+                 parallelism: int = 1) -> DataFrame:
+    """Per fold: fit on earlier target dates, score the fold; metrics and timings per (fold, model).
+
+    ``parallelism`` folds are submitted together; their timings then include waiting for each other.
+    """
     cached = held_for_training(train)
     folds = sorted(r["cv_fold"] for r in cached.where("cv_fold > 0").select("cv_fold").distinct().collect())
-    parts, timings = [], []
-    for fold in folds:
-        earlier, current = cached.where((F.col("cv_fold") < fold)), cached.where(F.col("cv_fold") == fold)
+    names = ["naive", *models]
+
+    def one(fold: int) -> tuple[DataFrame, list[tuple]]:
+        earlier, current = cached.where(F.col("cv_fold") < fold), cached.where(F.col("cv_fold") == fold)
         scored, _, seconds = fit_regressors(earlier, current, numeric, categorical, target, trees=trees, depth=depth, max_bins=max_bins, models=models)
-        names = ["naive", *models]
         metrics = regression_metrics(stacked_predictions(scored, names, target), "actual", "predicted", ["model"])
-        parts.append(metrics.withColumn("fold", F.lit(fold)).withColumn("train_rows", F.lit(earlier.count())))
-        timings += [(fold, n, *seconds[n]) for n in names]
+        row_count = earlier.count()
+        return metrics.select(F.lit(fold).alias("fold"), "*", F.lit(row_count).alias("train_rows")), [(fold, n, *seconds[n]) for n in names]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        done = list(pool.map(inheritable_thread_target(train.sparkSession)(one), folds))
+    parts = [metrics for metrics, _ in done]
+    timings = [row for _, rows in done for row in rows]
     clock = train.sparkSession.createDataFrame(timings, "fold int, model string, fit_seconds double, predict_seconds double")
     return reduce(DataFrame.unionByName, parts).join(F.broadcast(clock), ["fold", "model"])

@@ -33,8 +33,6 @@ RANK_SUBCELLS = 32
 
 def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """``(by..., variable, value)`` with doubles; NaN is NULL and NULL rows stay."""
-    if len(columns) == 1:
-        return df.select(*by, F.lit(columns[0]).alias("variable"), number(columns[0]).alias("value"))
     picked = df.select(*by, *[number(c).alias(c) for c in columns])
     return picked.unpivot(list(by), list(columns), "variable", "value")
 

@@ -190,7 +190,7 @@ def _(spark, folder):
 @query("m6_expanding_cv")
 def _(spark, folder):
     train = _ready(spark, folder).where("split = 'train'")
-    return md.expanding_cv(train, flows.FORECAST_NUMERIC, ["Name"], models=["linear_regression"]).drop("fit_seconds", "predict_seconds")
+    return md.expanding_cv(train, flows.FORECAST_NUMERIC, ["Name"], models=["linear_regression"], parallelism=5).drop("fit_seconds", "predict_seconds")
 
 
 @query("m7_predictions_table")
