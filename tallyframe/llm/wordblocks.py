@@ -53,7 +53,8 @@ class WordBlock:
     """
 
     def __init__(self, texts: pa.Array, separators: np.ndarray = BLANKS):
-        joined = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), ""), "", "\n")
+        empty, stop = pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string())
+        joined = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), empty), empty, stop)
         bounds = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset:joined.offset + len(joined) + 1]
         raw = np.frombuffer(joined.buffers()[2] or b"", np.uint8)[:bounds[-1]] if len(joined) else np.zeros(0, np.uint8)
         blank = separators[raw]
