@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, simhash, substrings, tokens
+from . import chat, quality, simhash, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = [tokens.op3_token_counts, quality.op7_quality_rules, simhash.op9_simhash_near_dedup, substrings.op10_substring_dedup]
+    found = [tokens.op3_token_counts, chat.op4_chat_formatting, quality.op7_quality_rules, simhash.op9_simhash_near_dedup, substrings.op10_substring_dedup]
     return {q.__name__: q for q in found}
 
 
