@@ -79,20 +79,36 @@ def split_draws(draws: np.ndarray, shards: int, seed: int = SEED) -> np.ndarray:
     return out
 
 
+def nearest_subset(sizes: list[int], budget: int) -> list[int]:
+    """Positions whose sizes add up nearest to ``budget``: exact, by a bit set of reachable sums."""
+    reach = [1]
+    for n in sizes:
+        reach.append(reach[-1] | reach[-1] << n)
+    below = (reach[-1] & ((1 << budget + 1) - 1)).bit_length() - 1
+    above = reach[-1] >> budget + 1
+    over = budget + (above & -above).bit_length() if above else None
+    total = over if over is not None and over - budget < budget - below else below
+    chosen = []
+    for i in range(len(sizes) - 1, -1, -1):
+        if not reach[i] >> total & 1:
+            chosen.append(i)
+            total -= sizes[i]
+    return chosen
+
+
 def fill_block(rows: list[int], sizes: list[int], budget: int, swaps: int = 8) -> list[int]:
     """Rows of one block, in permuted order, whose sizes come near ``budget``.
 
-    Takes each row that still fits, then the smallest other row if that is nearer than stopping, then
-    exchanges a taken row for another one a few times, each time the pair that comes nearest.
+    Small blocks are solved exactly. Larger ones take each row that still fits and then exchange a
+    taken row for another one a few times, each time the pair that comes nearest; with so many rows
+    hardly a word is left.
     """
+    if len(rows) <= 2 * BLOCK_ROWS:
+        return [rows[i] for i in nearest_subset(sizes, budget) if sizes[i]]
     size, taken, left = np.asarray(sizes, np.int64), np.zeros(len(rows), bool), budget
     for i, n in enumerate(sizes):
         if 0 < n <= left:
             taken[i], left = True, left - n
-    other = np.flatnonzero(~taken & (size > 0))
-    if len(other) and size[other].min() - left < left:
-        i = other[size[other].argmin()]
-        taken[i], left = True, left - size[i]
     for _ in range(swaps):
         inside, outside = np.flatnonzero(taken), np.flatnonzero(~taken & (size > 0))
         if not left or not len(inside) or not len(outside):
