@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,16 +15,16 @@ BLANKS = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 NOT_ALNUM = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, size: int) -> np.ndarray:
-    out = np.full(size, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out, out=out)
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: np.uint64, size: int) -> np.ndarray:
-    """base**0, base**1, ... modulo 2**64; kept for sizes up to the next power of two."""
-    return _powers(int(base), 1 << max(16, int(size).bit_length()))[:size]
+    """base**0, base**1, ... modulo 2**64; a worker keeps the longest row it has needed of each base."""
+    if len(have := _POWERS.get(int(base), np.zeros(0))) < size:
+        have = np.full(size + (size >> 3) + 1024, base, np.uint64)
+        have[0] = 1
+        _POWERS[int(base)] = np.multiply.accumulate(have, out=have)
+    return _POWERS[int(base)][:size]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
