@@ -10,6 +10,11 @@ def per_entity(entity: str, order: str) -> WindowSpec:
     return Window.partitionBy(entity).orderBy(order)
 
 
+def per_entity_backward(entity: str, order: str) -> WindowSpec:
+    """The same rows, last one first."""
+    return Window.partitionBy(entity).orderBy(F.desc(order))
+
+
 def lag_one(column: str, w: WindowSpec) -> Column:
     return F.lag(column, 1).over(w)
 
@@ -56,15 +61,16 @@ def forward_fill(column: str | Column, w: WindowSpec) -> Column:
     return F.last(column, ignorenulls=True).over(_rows(w, Window.unboundedPreceding, 0))
 
 
-def back_fill(column: str | Column, w: WindowSpec) -> Column:
-    return F.first(column, ignorenulls=True).over(_rows(w, 0, Window.unboundedFollowing))
+def back_fill(column: str | Column, backward: WindowSpec) -> Column:
+    """Next known value. ``backward`` runs from the last row to the first, so the running frame only grows."""
+    return F.last(column, ignorenulls=True).over(_rows(backward, Window.unboundedPreceding, 0))
 
 
-def interpolated(column: str, position: str, w: WindowSpec) -> Column:
+def interpolated(column: str, position: str, w: WindowSpec, backward: WindowSpec) -> Column:
     """Linear in row position between known values; edge runs take the nearest known value."""
     known_at = F.when(F.col(column).isNotNull(), F.col(position))
-    before, after = forward_fill(column, w), back_fill(column, w)
-    start, stop = forward_fill(known_at, w), back_fill(known_at, w)
+    before, after = forward_fill(column, w), back_fill(column, backward)
+    start, stop = forward_fill(known_at, w), back_fill(known_at, backward)
     blend = before + (after - before) * (F.col(position) - start) / (stop - start)
     return F.when(F.col(column).isNotNull(), F.col(column)).when(before.isNotNull() & after.isNotNull(), blend).otherwise(F.coalesce(before, after))
 

@@ -5,19 +5,16 @@ Rows carry a key and ``features``, an array of doubles.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import held_for_training
-from .ordering import broadcast_if_small
-from .sampling import uniform_sample
+from ..session import checkpointed, held_for_training
+from .ordering import broadcast_if_small, rows_that_fit
 
 # Sweep range, silhouette margin of the session rule, density-search scoring.
 K_RANGE = range(2, 11)
@@ -50,8 +47,13 @@ def group_centroids(df: DataFrame, cluster: str = "cluster", features: str = "fe
     return df.groupBy(cluster).agg(F.count(F.lit(1)).alias("size"), mean.alias("centroid"))
 
 
+def _dimensions(df: DataFrame, features: str = "features") -> int:
+    row = df.select(F.size(features).alias("n")).first()
+    return row["n"] if row else 1
+
+
 def _with_centroids(df: DataFrame, cluster: str, features: str) -> DataFrame:
-    joined = df.join(broadcast_if_small(group_centroids(df, cluster, features)), cluster)
+    joined = df.join(broadcast_if_small(group_centroids(df, cluster, features), rows_that_fit(_dimensions(df, features) + 2)), cluster)
     return joined.withColumn("sq", squared_distance(F.col(features), F.col("centroid")))
 
 
@@ -70,59 +72,61 @@ def calinski_harabasz(df: DataFrame, cluster: str = "cluster", features: str = "
     return figures.select(ratio.alias("calinski_harabasz"))
 
 
-def davies_bouldin(df: DataFrame, cluster: str = "cluster", features: str = "features") -> DataFrame:
-    """Mean over clusters of the worst (S_i + S_j) / d_ij, on the short table of clusters."""
-    scatter = _with_centroids(df, cluster, features).groupBy(cluster, "centroid").agg(F.avg(F.sqrt("sq")).alias("s"))
+def davies_bouldin(df: DataFrame, cluster: str = "cluster", features: str = "features", block: int = 512) -> DataFrame:
+    """Mean over clusters of the worst (S_i + S_j) / d_ij; each cluster meets the others in blocks."""
+    scatter = checkpointed(_with_centroids(df, cluster, features).groupBy(cluster).agg(F.first("centroid").alias("centroid"), F.avg(F.sqrt("sq")).alias("s")))
     short = scatter.select(F.col(cluster).alias("c"), "centroid", "s")
-    others = short.agg(F.collect_list(F.struct("c", "centroid", "s"))).scalar()
+    blocks = max(1, -(-short.count() // block))
+    lists = short.groupBy(F.pmod(F.xxhash64("c"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("c", "centroid", "s")).alias("others"))
+    met = short.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).join(lists, "block")
     closeness = F.transform(
         F.filter(F.col("others"), lambda o: o["c"] != F.col("c")),
         lambda o: F.try_divide(F.col("s") + o["s"], F.sqrt(squared_distance(F.col("centroid"), o["centroid"]))),
     )
-    worst = short.withColumn("others", others).select(F.array_max(closeness).alias("worst"))
+    worst = met.select("c", F.array_max(closeness).alias("worst")).groupBy("c").agg(F.max("worst").alias("worst"))
     return worst.agg(F.avg("worst").alias("davies_bouldin"))
 
 
-def silhouette_points(df: DataFrame, key: str, cluster: str = "cluster", features: str = "features",
-                      sample_size: int = 10_000, seed: int = 42) -> DataFrame:
-    """Euclidean silhouette of each sampled row within the sample; noise is left out, singletons score 0.
+CLUSTER_BLOCK = 512
+
+
+def silhouette_points(df: DataFrame, key: str, cluster: str = "cluster", features: str = "features", block: int = CLUSTER_BLOCK) -> DataFrame:
+    """Silhouette of every row on squared distances; noise is left out, singletons score 0.
 
-    The sample is bounded, so its matrix travels with the tasks and no pair is ever written out.
+    The mean squared distance from a row to a cluster is its squared distance to the cluster's mean
+    plus the cluster's own mean squared spread, so one table of clusters replaces all pairs of rows
+    and the cost is linear in the rows. Many clusters are compared in blocks of ``block``.
     """
     usable = df.where(F.col(cluster) != NOISE).select(F.col(key).alias("key"), F.col(cluster).alias("cluster"), F.col(features).alias("features"))
-    sample = uniform_sample(usable, ["key"], sample_size, seed)
-    held = sample.toPandas()
-    schema = f"key {usable.schema['key'].dataType.simpleString()}, cluster {usable.schema['cluster'].dataType.simpleString()}, silhouette double"
-    if held["cluster"].nunique() < 2:
-        return sample.sparkSession.createDataFrame([], schema)
-    matrix = np.vstack(held["features"].to_numpy()).astype(float)
-    names, codes = np.unique(held["cluster"].to_numpy(), return_inverse=True)
-    sizes = np.bincount(codes)
-    members = np.eye(len(names))[codes]
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
-            rows = np.vstack(batch["features"].to_numpy()).astype(float)
-            distance = np.sqrt(np.stack([((matrix - r) ** 2).sum(axis=1) for r in rows]))
-            own = np.searchsorted(names, batch["cluster"].to_numpy())
-            totals = distance @ members
-            pick = np.arange(len(rows))
-            inside = totals[pick, own] / np.maximum(sizes[own] - 1, 1)
-            means = totals / sizes
-            means[pick, own] = np.inf
-            outside = means.min(axis=1)
-            widest = np.maximum(inside, outside)
-            value = np.where(widest > 0, (outside - inside) / np.where(widest > 0, widest, 1.0), 0.0)
-            yield pd.DataFrame({"key": batch["key"], "cluster": batch["cluster"], "silhouette": np.where(sizes[own] == 1, 0.0, value)})
-
-    partitions = sample.sparkSession.sparkContext.defaultParallelism
-    return sample.repartition(partitions, "key").mapInPandas(score, schema)
-
-
-def silhouette(df: DataFrame, key: str, cluster: str = "cluster", features: str = "features", sample_size: int = 10_000, seed: int = 42) -> DataFrame:
-    return silhouette_points(df, key, cluster, features, sample_size, seed).agg(F.avg("silhouette").alias("silhouette"))
+    spread = _with_centroids(usable, "cluster", "features").groupBy("cluster").agg(
+        F.first("size").alias("size"), F.first("centroid").alias("centroid"), F.avg("sq").alias("spread"))
+    spread = checkpointed(spread)
+    found = spread.count()
+    kind = usable.schema["cluster"].dataType.simpleString()
+    if found < 2:
+        return df.sparkSession.createDataFrame([], f"key {usable.schema['key'].dataType.simpleString()}, cluster {kind}, silhouette double")
+    blocks = -(-found // block)
+    lists = spread.groupBy(F.pmod(F.xxhash64("cluster"), F.lit(blocks)).alias("block")).agg(
+        F.collect_list(F.struct("cluster", "size", "centroid", "spread")).alias("clusters"))
+    if found <= rows_that_fit(_dimensions(usable) + 3):
+        lists = F.broadcast(lists)
+    rows = usable.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).join(lists, "block")
+    away = F.transform("clusters", lambda c: F.struct(
+        (c["cluster"] == F.col("cluster")).alias("own"), c["size"].alias("size"), (squared_distance(F.col("features"), c["centroid"]) + c["spread"]).alias("d")))
+    rows = rows.select("key", "cluster", away.alias("away")).select(
+        "key", "cluster", F.get(F.filter("away", lambda a: a["own"]), F.lit(0)).alias("own"),
+        F.array_min(F.transform(F.filter("away", lambda a: ~a["own"]), lambda a: a["d"])).alias("outside"))
+    if blocks > 1:
+        rows = rows.groupBy("key", "cluster").agg(F.max("own").alias("own"), F.min("outside").alias("outside"))
+    inside = F.col("own.d") * F.col("own.size") / F.greatest(F.col("own.size") - 1, F.lit(1))
+    widest = F.greatest(inside, F.col("outside"))
+    score = F.when(F.col("own.size") == 1, F.lit(0.0)).when(widest > 0, (F.col("outside") - inside) / widest).otherwise(F.lit(0.0))
+    return rows.select("key", "cluster", score.alias("silhouette"))
+
+
+def silhouette(df: DataFrame, key: str, cluster: str = "cluster", features: str = "features") -> DataFrame:
+    """Mean silhouette of all rows; null with fewer than two clusters."""
+    return silhouette_points(df, key, cluster, features).agg(F.avg("silhouette").alias("silhouette"))
 
 
 def fit_kmeans(df: DataFrame, k: int, features: str = "features", seeds: Sequence[int] = (42, 43), max_iter: int = 100):
@@ -144,7 +148,7 @@ def predict(model, df: DataFrame, features: str = "features", cluster: str = "cl
 
 
 def kmeans_sweep(df: DataFrame, key: str, k_values: Sequence[int] = K_RANGE, features: str = "features",
-                 seeds: Sequence[int] = (42, 43), sample_size: int = 10_000, max_iter: int = 100):
+                 seeds: Sequence[int] = (42, 43), max_iter: int = 100):
     """Fit every K on all rows; the table of measures and the fitted models by K."""
     rows, models = [], {}
     df = held_for_training(df.select(key, features))
@@ -153,7 +157,7 @@ def kmeans_sweep(df: DataFrame, key: str, k_values: Sequence[int] = K_RANGE, fea
         labelled = predict(model, df, features)
         models[k] = model
         rows.append((
-            k, float(model.summary.trainingCost), silhouette(labelled, key, features=features, sample_size=sample_size).first()[0],
+            k, float(model.summary.trainingCost), silhouette(labelled, key, features=features).first()[0],
             calinski_harabasz(labelled, features=features).first()[0], davies_bouldin(labelled, features=features).first()[0],
         ))
     df.unpersist()
@@ -245,8 +249,7 @@ def divisive_hierarchy(df: DataFrame, k: int, features: str = "features", seed:
     return model
 
 
-def stability_table(labelled: DataFrame, key: str, algorithms: Sequence[str], split: str = "split", features: str = "features",
-                    sample_size: int = 5_000) -> DataFrame:
+def stability_table(labelled: DataFrame, key: str, algorithms: Sequence[str], split: str = "split", features: str = "features") -> DataFrame:
     """Rows, clusters, noise and silhouette per (algorithm, split); one label column per algorithm."""
     long = labelled.unpivot([key, split], list(algorithms), "algorithm", "cluster")
     sizes = long.groupBy("algorithm", split).agg(
@@ -257,7 +260,7 @@ def stability_table(labelled: DataFrame, key: str, algorithms: Sequence[str], sp
     for name in algorithms:
         for side in ("train", "test"):
             rows = labelled.where(F.col(split) == side)
-            score = silhouette(rows, key, name, features, sample_size)
+            score = silhouette(rows, key, name, features)
             parts.append(score.select(F.lit(name).alias("algorithm"), F.lit(side).alias(split), "silhouette"))
     scores = parts[0]
     for part in parts[1:]:

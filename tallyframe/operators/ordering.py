@@ -28,6 +28,7 @@ KEEP_ALL_ROWS = 20_000
 SMALL_ROWS = 200_000
 RANK_CUTS = 31
 BROADCAST_ROWS = 10_000
+BROADCAST_BYTES = 32 << 20
 RANK_SUBCELLS = 32
 
 
@@ -45,6 +46,11 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
+def rows_that_fit(numbers_per_row: int) -> int:
+    """How many rows of that many numbers may be broadcast."""
+    return max(1, min(BROADCAST_ROWS, BROADCAST_BYTES // (8 * max(1, numbers_per_row))))
+
+
 def attach(rows: DataFrame, parameters: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join a parameter frame to rows without moving the rows where that is possible.
 

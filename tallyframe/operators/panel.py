@@ -91,11 +91,11 @@ def most_gapped_entity(df: DataFrame, entity: str = "Name", date: str = "date")
 
 def fill_panel(panel: DataFrame, columns: Sequence[str] = BAR_COLUMNS, entity: str = "Name", date: str = "date") -> DataFrame:
     """Flag invented rows and interpolate each column inside its entity."""
-    w = win.per_entity(entity, date)
+    w, backward = win.per_entity(entity, date), win.per_entity_backward(entity, date)
     empty = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in columns])
     placed = panel.withColumn("was_missing_timestamp", empty).withColumn("position", F.row_number().over(w))
     placed = placed.withColumns({c: F.col(c).cast("double") for c in columns})
-    return placed.withColumns({f"{c}_filled": win.interpolated(c, "position", w) for c in columns}).drop("position")
+    return placed.withColumns({f"{c}_filled": win.interpolated(c, "position", w, backward) for c in columns}).drop("position")
 
 
 def panel_features(filled: DataFrame, entity: str = "Name", date: str = "date") -> DataFrame:

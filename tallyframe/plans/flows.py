@@ -72,10 +72,10 @@ def standardised_sessions(bars: DataFrame) -> DataFrame:
     return scaled.withColumn("id", F.xxhash64("Name", "date").bitwiseAND(F.lit(2**63 - 1))).withColumn("features", F.array(*columns))
 
 
-def session_segmentation(bars: DataFrame, k_values: Sequence[int] = cl.K_RANGE, seeds: Sequence[int] = (42, 43), sample_size: int = 1_000, max_iter: int = 55):
+def session_segmentation(bars: DataFrame, k_values: Sequence[int] = cl.K_RANGE, seeds: Sequence[int] = (42, 43), max_iter: int = 55):
     """K sweep on all sessions, K by elbow and silhouette margin, labels and cluster profile."""
     sessions = standardised_sessions(bars).persist()
-    table, models = cl.kmeans_sweep(sessions, "id", k_values, seeds=seeds, sample_size=sample_size, max_iter=max_iter)
+    table, models = cl.kmeans_sweep(sessions, "id", k_values, seeds=seeds, max_iter=max_iter)
     chosen = cl.choose_k_by_margin(table).first()["selected_k"]
     labelled = cl.assign_nearest(sessions, cl.centres_of(models[chosen]))
     profile = group_profile(
@@ -84,16 +84,15 @@ def session_segmentation(bars: DataFrame, k_values: Sequence[int] = cl.K_RANGE,
     return table, labelled, profile
 
 
-def session_density(bars: DataFrame, min_samples: int = 12, eps_quantile: float = 0.90, eps_sample: int = 1_000) -> tuple[DataFrame, float]:
-    """Density clusters of all sessions on their first two principal components; eps from k-distances of a sample."""
+def session_density(bars: DataFrame, min_samples: int = 12, eps_quantile: float = 0.90) -> tuple[DataFrame, float]:
+    """Density clusters of all sessions on their first two principal components; eps from the k-distances of all of them."""
     from ..operators.ordering import fitted_quantiles
-    from ..operators.sampling import uniform_sample
 
     sessions = v.assert_unique(standardised_sessions(bars), ["id"])
     placed, _ = pca_coordinates(sessions, [f"{c}_z" for c in pn.SESSION_FEATURES], ["id"])
     placed = placed.persist()
     # The point itself is the zeroth neighbour here, so the k-th other point is asked for.
-    near = dn.kth_distances(placed, uniform_sample(placed, ["id"], eps_sample), min_samples + 1)
+    near = dn.kth_distances(placed, placed, min_samples + 1)
     eps = fitted_quantiles(near, ["kth_distance"], [eps_quantile])["kth_distance"][0]
     return dn.dbscan(placed, eps, min_samples, "id"), eps
 
@@ -120,7 +119,7 @@ def feature_space(df: DataFrame, features: Sequence[str], key: str, components:
 
 
 def stability(df: DataFrame, features: Sequence[str], key: str, k: int = 5, eps: float = 1.1088466854779546, min_samples: int = 20,
-              components: int = 10, sample_size: int = 5_000, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+              components: int = 10, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Fit K-means, the divisive hierarchy and density clusters on 80 % and label both splits; quality table and assignments."""
     split = sp.hash_split(df, [key], seed=seed)
     train = split.where(F.col("split") == "train")
@@ -134,7 +133,7 @@ def stability(df: DataFrame, features: Sequence[str], key: str, k: int = 5, eps:
     out = dn.nearest_within(test_rows, core, eps, key).select(key, "cluster")
     labels = dense.select(key, "cluster").unionByName(out).withColumnRenamed("cluster", "dbscan")
     labelled = labelled.join(labels, key).persist()
-    table = cl.stability_table(labelled, key, ["kmeans", "hierarchy", "dbscan"], sample_size=sample_size)
+    table = cl.stability_table(labelled, key, ["kmeans", "hierarchy", "dbscan"])
     return table, labelled.select(key, "split", "kmeans", "hierarchy", "dbscan")
 
 

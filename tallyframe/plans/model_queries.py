@@ -232,7 +232,7 @@ def _(spark, folder):
     return cl.inertia(fr.vectors(spark, folder), "label")
 
 
-SILHOUETTE = VEC + """, d AS (SELECT a.id, a.label AS mine, b.label AS other, sum(list_distance(a.features, b.features)) AS s, count(*) AS n FROM ve a, ve b GROUP BY 1, 2, 3),
+SILHOUETTE = VEC + """, d AS (SELECT a.id, a.label AS mine, b.label AS other, sum(power(list_distance(a.features, b.features), 2)) AS s, count(*) AS n FROM ve a, ve b GROUP BY 1, 2, 3),
 i AS (SELECT id, mine, s / greatest(n - 1, 1) AS inner_mean, n FROM d WHERE mine = other), o AS (SELECT id, min(s / n) AS outer_mean FROM d WHERE mine <> other GROUP BY 1),
 p AS (SELECT id, mine AS cluster, CASE WHEN n = 1 THEN 0 ELSE (outer_mean - inner_mean) / greatest(outer_mean, inner_mean) END AS silhouette FROM i JOIN o USING (id)) """
 

@@ -149,7 +149,7 @@ def _(spark, folder):
   first_value(close IGNORE NULLS) OVER (PARTITION BY "Name" ORDER BY panel.date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS backward FROM panel""", "forward backward")
 def _(spark, folder):
     panel = pn.complete_panel(fr.gappy_bars(spark, folder))
-    return panel.select("Name", "date", win.forward_fill("close", by_day()).alias("forward"), win.back_fill("close", by_day()).alias("backward"))
+    return panel.select("Name", "date", win.forward_fill("close", by_day()).alias("forward"), win.back_fill("close", win.per_entity_backward("Name", "date")).alias("backward"))
 
 
 @query("w10_gap_flag", f"WITH {FILLED} SELECT {KEY}, was_missing_timestamp FROM filled")

@@ -79,7 +79,7 @@ def test_silhouette_matches_brute_force_and_skips_noise(spark):
     df = points(spark, x).join(spark.createDataFrame(pd.DataFrame({"id": range(66), "cluster": label})), "id")
     got = cl.silhouette_points(df, "id").toPandas().set_index("key")["silhouette"].sort_index()
     keep = label >= 0
-    d, lab = distances(x[keep], x[keep]), label[keep]
+    d, lab = distances(x[keep], x[keep]) ** 2, label[keep]
     want = []
     for i, own in enumerate(lab):
         same = (lab == own).sum()
@@ -88,6 +88,26 @@ def test_silhouette_matches_brute_force_and_skips_noise(spark):
         want.append(0.0 if same == 1 else (b - a) / max(a, b))
     assert np.allclose(got, want)
     assert cl.silhouette(df.where("cluster = 0"), "id").first()[0] is None
+    blocked = cl.silhouette_points(df, "id", block=1).toPandas().set_index("key")["silhouette"].sort_index()
+    assert np.allclose(blocked, want)
+
+
+def test_silhouette_of_more_rows_than_any_sample(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (10_200, 2))
+    label = rng.integers(0, 4, len(x))
+    df = spark.createDataFrame(pd.DataFrame({"id": range(len(x)), "features": list(map(list, x)), "cluster": label}))
+    total = np.zeros((len(x), 4))
+    for c in range(4):
+        part = x[label == c]
+        total[:, c] = (x ** 2).sum(1) * len(part) + (part ** 2).sum() - 2 * x @ part.sum(0)
+    n = np.bincount(label)
+    own = np.arange(len(x)), label
+    a, means = total[own] / (n[label] - 1), total / n
+    means[own] = np.inf
+    b = means.min(1)
+    assert cl.silhouette(df, "id").first()[0] == pytest.approx(np.mean((b - a) / np.maximum(a, b)), rel=1e-9)
+    assert cl.silhouette_points(df, "id").count() == len(x)
 
 
 def test_kmeans_sweep_and_choice(spark):
