@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import held_for_training
+from .entity_ols import EntityOls, fit_entity_ols
 from .metrics import regression_metrics, summary_metrics
 from .prepare import MedianImputer, ModeImputer, ZScaler
 from .splits import feature_columns, stratified_split
@@ -155,14 +156,19 @@ def regression_candidates(trees: int, depth: int, max_bins: int):
 
 def fit_regressors(train: DataFrame, test: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str = "target_close_next",
                    baseline: str = "close", trees: int = REGRESSOR_TREES, depth: int = REGRESSOR_DEPTH, max_bins: int = 64,
-                   models: Sequence[str] = ("linear_regression", "random_forest")) -> tuple[DataFrame, dict[str, PipelineModel], dict[str, tuple[float, float]]]:
-    """Fit on train; the test rows with one prediction column per model, the fitted pipelines, and (fit, predict) seconds."""
+                   models: Sequence[str] = ("linear_regression", "random_forest")) -> tuple[DataFrame, dict[str, PipelineModel | EntityOls], dict[str, tuple[float, float]]]:
+    """Fit on train; the test rows with one prediction column per model, the fitted models, and (fit, predict) seconds.
+
+    Least squares over one categorical column is fitted by its group means.
+    """
     scored = test.withColumn("pred_naive", F.col(baseline))
     fitted, seconds = {}, {"naive": (0.0, 0.0)}
     for name, encode, scale, estimator in regression_candidates(trees, depth, max_bins):
         if name not in models:
             continue
         def fit():
+            if name == "linear_regression" and len(categorical) == 1:
+                return fit_entity_ols(train, numeric, categorical[0], target)
             prep = fit_preprocessor(train, numeric, categorical, encode, scale)
             rows = held_for_training(prep.transform(train).select("features_vector", F.col(target).cast("double").alias("label")))
             model = estimator.fit(rows)

@@ -14,7 +14,7 @@ from ..operators import modeling as md
 from ..operators import panel as pn
 from ..operators import splits as sp
 from ..operators import validate as v
-from ..session import held_for_training
+from ..session import checkpointed, held_for_training
 from ..operators.describe import group_profile
 from ..operators.metrics import regression_metrics
 from ..operators.prepare import ZScaler
@@ -25,7 +25,7 @@ FORECAST_NUMERIC = ["open", "high", "low", "close", "volume"]
 
 def model_ready(bars: DataFrame, cutoff: str, n_splits: int = 5) -> DataFrame:
     """Next-day target, null rows dropped, time split and fold labels."""
-    checked = v.require_columns(bars, ["Name", "date", *FORECAST_NUMERIC])
+    checked = checkpointed(v.require_columns(bars, ["Name", "date", *FORECAST_NUMERIC]))  # every audit below reads it
     targeted = pn.next_day_target(v.assert_unique(checked, ["Name", "date"]))
     kept = targeted.na.drop(subset=["Name", *FORECAST_NUMERIC, "target_close_next", "target_date"])
     return sp.label_folds(sp.time_split(kept, cutoff), n_splits)

@@ -182,6 +182,19 @@ def _(spark, folder):
     return flows.forecast(_ready(spark, folder), models=["linear_regression"]).metrics.drop("fit_seconds", "predict_seconds")
 
 
+@query("m3_entity_effects", f"""WITH {TARGETED}, r AS (SELECT "Name", close, volume, target_close_next AS t FROM targeted WHERE target_date < DATE '{fr.CUTOFF}'),
+d AS (SELECT close - avg(close) OVER w AS a, volume - avg(volume) OVER w AS b, t - avg(t) OVER w AS y FROM r WINDOW w AS (PARTITION BY "Name")),
+m AS (SELECT sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb, sum(a * y) AS ay, sum(b * y) AS yb FROM d),
+s AS (SELECT (ay * bb - yb * ab) / (aa * bb - ab * ab) AS close_slope, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS volume_slope FROM m)
+SELECT "Name", count(*) AS n, avg(t) - close_slope * avg(close) - volume_slope * avg(volume) AS effect, close_slope, volume_slope FROM r, s GROUP BY "Name", close_slope, volume_slope""", "effect close_slope volume_slope")
+def _(spark, folder):
+    """Least squares on two features with one intercept per entity."""
+    from ..operators.entity_ols import fit_entity_ols
+
+    model = fit_entity_ols(_ready(spark, folder).where("split = 'train'"), ["close", "volume"], "Name", "target_close_next")
+    return model.effects.select("Name", "n", "effect", F.lit(model.slopes[0]).alias("close_slope"), F.lit(model.slopes[1]).alias("volume_slope"))
+
+
 @query("m4_forest_forecast")
 def _(spark, folder):
     return flows.forecast(_ready(spark, folder), trees=20, depth=8, models=["random_forest"]).metrics.drop("fit_seconds", "predict_seconds")
