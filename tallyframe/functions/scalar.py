@@ -107,7 +107,7 @@ def variability_label(cv_percent: Column | str) -> Column:
 
 def wilson_interval(rate: Column | str, n: Column | str, z: float = WILSON_Z) -> tuple[Column, Column]:
     """Lower and upper bound of the Wilson score interval of a share."""
-    p, count = _c(rate), _c(n).cast("double")
+    p, count = _c(rate), F.nullif(_c(n).cast("double"), F.lit(0.0))  # no outcomes, no interval
     scale = 1 + z * z / count
     centre = (p + z * z / (2 * count)) / scale
     half = z * F.sqrt(p * (1 - p) / count + z * z / (4 * count * count)) / scale

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.moments import adjusted_kurtosis, adjusted_skewness
 from ..functions.scalar import log10_floored, wilson_interval
+from ..session import checkpointed
 from .ordering import attach, exact_quantiles, long_form
 
 # Percentiles and fence factor of the report tables.
@@ -112,8 +113,8 @@ def with_fences(table: DataFrame, q1: str = "q1", q3: str = "q3") -> DataFrame:
 def describe_with_outliers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), percentiles: Sequence[float] = SUMMARY_PERCENTILES) -> DataFrame:
     """Description plus fences and the number of values strictly outside them."""
     keys = [*by, "variable"]
-    table = with_fences(describe(df, columns, by, percentiles))
-    fences = with_fences(quantile_columns(df, columns, {"q1": 0.25, "q3": 0.75}, by)).select(*keys, "lower_fence", "upper_fence")
+    table = checkpointed(with_fences(describe(df, columns, by, percentiles)))  # a row a group, read twice
+    fences = table.select(*keys, "lower_fence", "upper_fence")
     outside = (F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence"))
     counts = attach(long_form(df, columns, by), fences, keys).groupBy(*keys).agg(F.count_if(outside).alias("outlier_count"))
     return table.join(counts, keys, "left")

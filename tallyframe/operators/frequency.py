@@ -97,31 +97,36 @@ def order_statistics(states: Mapping[str, DataFrame], columns: Sequence[str], po
 def kernel_density(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), grid: int = KDE_GRID) -> DataFrame:
     """Gaussian kernel density with Scott's bandwidth on an even grid between the extremes.
 
-    Each row meets only the ``grid`` evaluation points, and the sums are combined on the map side.
+    Equal values collapse to one with a count, each meets only the ``grid`` evaluation points, and the
+    sums are combined on the map side. A group without spread has one row at its value, density null.
     """
     keys = [*by, "variable"]
     rows = long_form(df, columns, by).where(F.col("value").isNotNull())
     shape = rows.groupBy(*keys).agg(
         F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.stddev_samp("value").alias("std")
-    ).withColumn("bandwidth", F.pow(F.col("n").cast("double"), F.lit(-0.2)) * F.col("std")).where(F.col("bandwidth") > 0)
+    ).withColumn("bandwidth", F.pow(F.col("n").cast("double"), F.lit(-0.2)) * F.col("std"))
+    flat = shape.where(~F.coalesce(F.col("bandwidth") > 0, F.lit(False))).select(
+        *keys, F.lit(0).alias("step"), F.col("lo").alias("x"), F.lit(None).cast("double").alias("density"))
+    shape = shape.where(F.col("bandwidth") > 0)
+    counted = rows.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("copies"))
     point = F.col("lo") + F.col("step") * (F.col("hi") - F.col("lo")) / (grid - 1)
     spread = (
-        attach(rows, shape, keys)
+        attach(counted, shape, keys)
         .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
         .withColumn("u", (point - F.col("value")) / F.col("bandwidth"))
     )
     kernel = F.exp(-0.5 * F.col("u") * F.col("u")) / (math.sqrt(2 * math.pi) * F.col("bandwidth"))
     return (
-        spread.groupBy(*keys, "step").agg(F.avg(kernel).alias("density"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
+        spread.groupBy(*keys, "step").agg((F.sum(F.col("copies") * kernel) / F.first("n")).alias("density"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
         .select(*keys, "step", point.alias("x"), "density")
-    )
+    ).unionByName(flat)
 
 
 def hexagon_cell(x: Column, y: Column, x_lo: float, x_hi: float, y_lo: float, y_hi: float, grid: int = HEX_GRID) -> tuple[Column, Column, Column]:
     """Hexagonal cell of a point: one of two offset lattices (0 corners, 1 centres) and its indices."""
     nx, ny = grid, int(grid / math.sqrt(3))
-    sx = (x - x_lo) / ((x_hi - x_lo) / nx)
-    sy = (y - y_lo) / ((y_hi - y_lo) / ny)
+    sx = (x - x_lo) / ((x_hi - x_lo) / nx or 1.0)
+    sy = (y - y_lo) / ((y_hi - y_lo) / ny or 1.0)
     corner_x, corner_y = F.floor(sx + 0.5), F.floor(sy + 0.5)
     centre_x, centre_y = F.floor(sx), F.floor(sy)
     to_corner = F.pow(sx - corner_x, F.lit(2)) + 3.0 * F.pow(sy - corner_y, F.lit(2))
@@ -131,10 +136,10 @@ def hexagon_cell(x: Column, y: Column, x_lo: float, x_hi: float, y_lo: float, y_
 
 
 def hexbin(df: DataFrame, x: str, y: str, grid: int = HEX_GRID, trim: tuple[float, float] | None = (0.01, 0.99)) -> DataFrame:
-    """Rows per hexagonal cell; cells without rows do not appear."""
+    """Rows per hexagonal cell; cells without rows do not appear. A constant axis has one column of cells."""
     points = df.select(number(x).alias(x), number(y).alias(y)).na.drop()
     if trim:
         points = quantile_trim(points, [x, y], *trim)
-    box = points.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
+    box = [v or 0.0 for v in points.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()]
     lattice, i, j = hexagon_cell(F.col(x), F.col(y), *box, grid=grid)
     return points.groupBy(lattice.alias("lattice"), i.cast("long").alias("i"), j.cast("long").alias("j")).agg(F.count(F.lit(1)).alias("count"))

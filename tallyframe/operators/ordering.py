@@ -26,10 +26,10 @@ SUBCELLS = 256
 KEEP_ALL_ROWS = 20_000
 # Groups counted at no more than this go to the built-in exact percentile, which holds a group's distinct values.
 SMALL_ROWS = 200_000
-RANK_CUTS = 31
+# Value buckets of a ranking: RANK_CELLS cells of RANK_CELLS buckets, all cut at quantiles, so a tail is cut like the middle.
+RANK_CELLS = 32
 BROADCAST_ROWS = 10_000
 BROADCAST_BYTES = 32 << 20
-RANK_SUBCELLS = 32
 
 
 def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -160,7 +160,8 @@ def exact_quantiles(
     keys = [*by, "variable"]
     rows = long_form(df, columns, by).where(F.col("value").isNotNull())
     margin = 4.0 / accuracy
-    interior = sorted({p + s for p in probs for s in (-margin, margin) if 0 < p + s < 1})
+    inner = [p for p in probs if 0 < p < 1] or [0.5]  # the ends are the smallest and the largest value
+    interior = sorted({p + s for p in inner for s in (-margin, margin) if 0 < p + s < 1})
     sketch = [F.count("value").alias("rows"), F.min("value").alias("smallest"), F.max("value").alias("largest")]
     if interior:
         sketch.append(F.percentile_approx("value", interior, accuracy).alias("approx"))
@@ -181,7 +182,8 @@ def exact_quantiles(
         brackets = df.sparkSession.createDataFrame(found, sizes.schema)
 
     few = F.col("rows") <= KEEP_ALL_ROWS
-    lows, highs = [p - margin for p in probs], [p + margin for p in probs]
+    lows, highs = [p - margin for p in inner], [p + margin for p in inner]
+    ends = brackets.select(*keys, "smallest", "largest")
     brackets = brackets.select(
         *keys,
         F.when(few, F.array("smallest")).otherwise(F.array(*[bound(p) for p in lows])).alias("lows"),
@@ -210,7 +212,8 @@ def exact_quantiles(
     def place(total: Column, p: Column) -> Column:
         return (total - 1) * p
 
-    wanted = F.array_distinct(F.flatten(F.transform(points, lambda p: F.array(F.floor(place(F.col("total"), p)), F.ceil(place(F.col("total"), p))))))
+    asked = F.array(*[F.lit(float(p)) for p in inner])
+    wanted = F.array_distinct(F.flatten(F.transform(asked, lambda p: F.array(F.floor(place(F.col("total"), p)), F.ceil(place(F.col("total"), p))))))
     here = F.filter(wanted, lambda r: (F.col("before") <= r) & (r < F.col("before") + F.col("n")))
     hits = ranked.select(*keys, "total", "value", F.explode(here).alias("rank"))
     chosen = hits.groupBy(*keys).agg(
@@ -223,7 +226,9 @@ def exact_quantiles(
         missed = F.raise_error(F.lit("quantile bracket missed its rank; raise accuracy")).cast("double")
         return F.coalesce(low + (high - low) * (position - F.floor(position)), missed)
 
-    return chosen.select(*keys, F.transform(points, blend).alias("q"))
+    ended = attach(chosen, ends, keys)
+    value = F.transform(points, lambda p: F.when(p <= 0, F.col("smallest")).when(p >= 1, F.col("largest")).otherwise(blend(p)))
+    return ended.select(*keys, value.alias("q"))
 
 
 def fitted_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
@@ -235,17 +240,16 @@ def ordered_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
     """Distinct values with ``n`` copies, ``before`` rows below and ``total`` rows per (by, variable)."""
     keys = [*by, "variable"]
     rows = long_form(df, columns, by).where(F.col("value").isNotNull())
-    probs = [(i + 1) / (RANK_CUTS + 1) for i in range(RANK_CUTS)]
-    cuts = rows.groupBy(*keys).agg(
-        F.min("value").alias("smallest"), F.max("value").alias("largest"),
-        F.percentile_approx("value", probs, 1_000).alias("approx"),
-    )
-    cuts = cuts.select(*keys, F.concat(F.array("smallest"), F.sort_array("approx"), F.array("largest")).alias("edges"))
+    pieces = RANK_CELLS * RANK_CELLS
+    probs = [(i + 1) / pieces for i in range(pieces - 1)]
+    cuts = rows.groupBy(*keys).agg(F.sort_array(F.percentile_approx("value", probs, 10_000)).alias("fine"))
+    coarse = F.transform(F.sequence(F.lit(1), F.lit(RANK_CELLS - 1)), lambda i: F.col("fine")[i * RANK_CELLS - 1])
+    cuts = cuts.withColumn("coarse", coarse)
     distinct = rows.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
     cells = (
         attach(distinct, cuts, keys)
-        .withColumn("cell", _below(F.col("edges"), F.col("value")))
-        .withColumn("sub", _subcell(F.col("edges"), F.col("cell"), F.col("value"), RANK_SUBCELLS))
+        .withColumn("cell", _below(F.col("coarse"), F.col("value")))
+        .withColumn("sub", _below(F.slice("fine", F.col("cell") * RANK_CELLS + 1, F.lit(RANK_CELLS - 1)), F.col("value")))
         .select(*keys, "cell", "sub", "value", "n")
     )
     return _with_ranks(cells, keys)

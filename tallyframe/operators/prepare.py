@@ -43,7 +43,7 @@ class ModeImputer:
 
 @dataclass
 class IqrCapper:
-    """Limit to the fences of the frame it was fitted on; no row is dropped."""
+    """Limit to the fences of the frame it was fitted on; no row is dropped. A column of nulls has no fences and stays."""
 
     columns: Sequence[str]
     suffix: str = ""
@@ -56,14 +56,14 @@ class IqrCapper:
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c + self.suffix: clip(number(c), *self.fences[c]) for c in self.columns})
+        return df.withColumns({c + self.suffix: clip(number(c), *self.fences.get(c, (None, None))) for c in self.columns})
 
     def counts(self, df: DataFrame) -> DataFrame:
         """Values below, above and outside the fences per variable."""
         def stats(c: str):
-            low, high = self.fences[c]
+            low, high = (F.lit(v).cast("double") for v in self.fences.get(c, (None, None)))
             return F.struct(
-                F.lit(low).alias("lower_fence"), F.lit(high).alias("upper_fence"),
+                low.alias("lower_fence"), high.alias("upper_fence"),
                 F.count_if(F.col(c) < low).alias("capped_low"), F.count_if(F.col(c) > high).alias("capped_high"),
                 F.count_if((F.col(c) < low) | (F.col(c) > high)).alias("capped_count"),
             ).alias(c)
@@ -134,13 +134,13 @@ def column_stack(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
 
 def quantile_clip(df: DataFrame, columns: Sequence[str], low: float = 0.01, high: float = 0.99) -> DataFrame:
     bounds = fitted_quantiles(df, columns, [low, high])
-    return df.withColumns({c: clip(number(c), *bounds[c]) for c in columns})
+    return df.withColumns({c: clip(number(c), *bounds.get(c, (None, None))) for c in columns})
 
 
 def quantile_trim(df: DataFrame, columns: Sequence[str], low: float = 0.01, high: float = 0.99) -> DataFrame:
-    """Keep rows whose every column lies within its own quantile bounds, ends included."""
+    """Keep rows whose every column lies within its own quantile bounds, ends included; a column of nulls bounds nothing."""
     bounds = fitted_quantiles(df, columns, [low, high])
-    for c in columns:
+    for c in bounds:
         df = df.where(F.col(c).between(*bounds[c]))
     return df
 
@@ -148,7 +148,7 @@ def quantile_trim(df: DataFrame, columns: Sequence[str], low: float = 0.01, high
 def symmetric_clip(df: DataFrame, column: str, tail: float = 0.005) -> DataFrame:
     """Null to 0, then limit to the larger absolute tail quantile on both sides."""
     filled = df.withColumn(column, F.coalesce(number(column), F.lit(0.0)))
-    low, high = fitted_quantiles(filled, [column], [tail, 1 - tail])[column]
+    low, high = fitted_quantiles(filled, [column], [tail, 1 - tail]).get(column, (0.0, 0.0))
     limit = max(abs(low), abs(high))
     return filled.withColumn(column, clip(column, -limit, limit))
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import number
+from ..session import checkpointed
 from .ordering import average_ranks, fitted_quantiles
 
 
@@ -26,6 +27,15 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _square(values.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs]), columns)
 
 
+def grouped_pearson(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The matrix of every group: ``by``, ``row``, ``column``, ``correlation``; null where a column does not vary."""
+    values = df.select(*by, *[number(c).alias(c) for c in columns])
+    pairs = [(min(a, b), max(a, b)) for a, b in combinations(columns, 2)] + [(c, c) for c in columns]
+    wide = values.groupBy(*by).agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    entries = [F.struct(F.lit(a).alias("row"), F.lit(b).alias("column"), F.col(f"`{min(a, b)}|{max(a, b)}`").alias("correlation")) for a in columns for b in columns]
+    return wide.select(*by, F.inline(F.array(*entries)))
+
+
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Correlation of tie-averaged ranks over rows complete in all columns.
 
@@ -33,7 +43,7 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     row per distinct value, so copies of a hot value never multiply.
     """
     complete = df.select(*[number(c).alias(c) for c in columns]).na.drop()
-    ranks = average_ranks(complete, columns)
+    ranks = checkpointed(average_ranks(complete, columns))  # read once per column
     combos = complete.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
     for c in columns:
         lookup = ranks.where(F.col("variable") == c).select(F.col("value").alias(c), F.col("rank").alias(f"{c}_rank"))
@@ -61,12 +71,14 @@ def ols_lines(df: DataFrame, predictors: Sequence[str], response: str) -> DataFr
 
 def decile_edges(df: DataFrame, column: str, parts: int = 10) -> list[float]:
     """Equal-frequency edges with repeated edges dropped."""
-    edges = fitted_quantiles(df, [column], [i / parts for i in range(parts + 1)])[column]
+    edges = fitted_quantiles(df, [column], [i / parts for i in range(parts + 1)]).get(column, [])
     return sorted(set(edges))
 
 
 def binned_response(df: DataFrame, column: str, outcome: Column, edges: Sequence[float], include_lowest: bool = False) -> DataFrame:
     """Count and outcome mean in right-closed bins; values outside all bins are left out, empty bins too."""
+    if not edges:
+        return df.sparkSession.createDataFrame([], "bin int, left_edge double, right_edge double, count long, rate double")
     value = number(column)
     bin_number = reduce(lambda a, b: a + b, [(value > F.lit(float(e))).cast("int") for e in edges])
     if include_lowest:

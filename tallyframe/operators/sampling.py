@@ -7,29 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import fitted_quantiles
+from .ordering import ordered_counts
+from .splits import key_digest
 
 
 def group_sample(df: DataFrame, group: str, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """At most ``n`` rows per group. Each task keeps ``n`` rows per group before the shuffle."""
-    order = Window.partitionBy(group).orderBy(F.xxhash64(*key, F.lit(seed)), *key)
+    order = Window.partitionBy(group).orderBy(key_digest(key, seed), *key)
     return df.withColumn("draw", F.row_number().over(order)).where(F.col("draw") <= n).drop("draw")
 
 
 def uniform_sample(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """``n`` rows without replacement."""
-    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(n)
+    return df.orderBy(key_digest(key, seed), *key).limit(n)
 
 
-def value_bins(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
-    """Equal-frequency bin 1..bins of each row, by exact quantile edges; equal values share a bin."""
-    edges = fitted_quantiles(df, [column], [i / bins for i in range(1, bins)])[column]
-    number = sum(((F.col(column) > F.lit(e)).cast("int") for e in edges), F.lit(1))
-    return df.withColumn("bin", number)
+def value_bins(df: DataFrame, column: str, key: Sequence[str], bins: int = 20, seed: int = 42) -> DataFrame:
+    """Equal-sized bin 1..bins of each row by value; equal values are told apart by the digest of their key.
+
+    A row's place is the rows below its value plus its place among the copies. Copies are numbered in
+    256 digest buckets, so a hot value is spread over tasks. Null values have a null bin.
+    """
+    counts = ordered_counts(df, [column]).select(F.col("value").alias("_value"), "before", "total")
+    digest = key_digest(key, seed)
+    rows = df.withColumns({"_value": F.col(column).cast("double"), "_digest": digest, "_part": F.conv(F.substring(digest, 1, 2), 16, 10).cast("int")})
+    sizes = rows.where(F.col("_value").isNotNull()).groupBy("_value", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_value").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_value", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")).join(counts, "_value")
+    within = F.row_number().over(Window.partitionBy("_value", "_part").orderBy("_digest", *key))
+    placed = rows.withColumn("_within", within).join(offsets, ["_value", "_part"], "left")
+    place = F.col("before") + F.col("_offset") + F.col("_within")
+    return placed.withColumn("bin", F.ceil(place * bins / F.col("total")).cast("int")).select(*df.columns, "bin")
 
 
 def binned_sample(df: DataFrame, column: str, key: Sequence[str], per_bin: int = 125, bins: int = 20, seed: int = 42) -> DataFrame:
-    return group_sample(value_bins(df, column, bins), "bin", key, per_bin, seed)
+    return group_sample(value_bins(df, column, key, bins, seed), "bin", key, per_bin, seed)
 
 
 def best_rows(df: DataFrame, order: Sequence, n: int = 1) -> DataFrame:

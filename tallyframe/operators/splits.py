@@ -8,12 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HASH_BUCKETS = 1_000_000
+def key_digest(key: Sequence[str], seed: int) -> Column:
+    """Hex digest of the row key and the seed, the same in any engine that has MD5."""
+    return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key], F.lit(str(seed))))
 
 
 def hash_share(key: Sequence[str], seed: int) -> Column:
     """A number in [0, 1) fixed by the row key and the seed, whatever the partitioning."""
-    return F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(HASH_BUCKETS)) / F.lit(float(HASH_BUCKETS))
+    return F.conv(F.substring(key_digest(key, seed), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
 
 
 def hash_split(df: DataFrame, key: Sequence[str], test_share: float = 0.2, seed: int = 42) -> DataFrame:

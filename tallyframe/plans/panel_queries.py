@@ -10,6 +10,7 @@ from ..operators import sampling as sm
 from ..operators import splits as sp
 from ..operators import validate as v
 from ..operators.describe import raw_filled_log
+from ..operators.relate import grouped_pearson
 from ..sources.tables import read_table
 from . import frames as fr
 from .catalog import query
@@ -192,10 +193,18 @@ def _(spark, folder):
     return pn.context_slice(panel, filled, "high")
 
 
-@query("w12_value_bins")
+@query("w12_value_bins", f"""WITH {fr.targeted_sql(fr.BARS_SQL)}, r AS (SELECT * FROM targeted WHERE target_close_next IS NOT NULL),
+p AS (SELECT *, row_number() OVER (ORDER BY target_close_next, md5("Name" || '|' || CAST(date AS VARCHAR) || '|42'), "Name", date) AS place, count(*) OVER () AS n FROM r)
+SELECT {KEY}, CAST(ceil(place * 20 / n::DOUBLE) AS BIGINT) AS bin FROM p""")
 def _(spark, folder):
     targeted = pn.next_day_target(fr.bars(spark, folder)).na.drop(subset=["target_close_next"])
-    return sm.value_bins(targeted, "target_close_next").select("Name", "date", "bin")
+    return sm.value_bins(targeted, "target_close_next", ["Name", "date"]).select("Name", "date", "bin")
+
+
+@query("a26_series_correlation", f"WITH {fr.STATUS_BARS_SQL} " + " UNION ALL ".join(f"""SELECT "Name", '{a}' AS row, '{b}' AS "column", corr({a}, {b}) AS correlation FROM bars GROUP BY 1""" for a in fr.BARS for b in fr.BARS), "correlation")
+def _(spark, folder):
+    """The five-by-five correlation block of every series."""
+    return grouped_pearson(fr.status_bars(spark, folder), fr.BARS, ["Name"])
 
 
 @query("a26_series_snapshot", f"""WITH {fr.STATUS_BARS_SQL}, r AS (SELECT *, close / lag(close) OVER {BY} - 1 AS ret FROM bars)
@@ -306,12 +315,15 @@ def _(spark, folder):
     return sp.row_loss(pn.next_day_target(fr.gappy_bars(spark, folder)), fr.BARS, fr.CUTOFF)
 
 
-@query("x1_stratified_split")
+SHARE = "('0x' || substr(md5({key} || '|42'), 1, 8))::BIGINT / 4294967296.0"
+
+
+@query("x1_stratified_split", f"""WITH {fr.ORDERS} SELECT y, CASE WHEN {SHARE.format(key="y || '|' || o_orderkey")} < 0.2 THEN 'test' ELSE 'train' END AS split, count(*) AS rows FROM od GROUP BY 1, 2""")
 def _(spark, folder):
     return sp.stratified_split(fr.orders(spark, folder), "y", ["o_orderkey"]).groupBy("y", "split").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("x2_random_split")
+@query("x2_random_split", f"""WITH {fr.ORDERS} SELECT CASE WHEN {SHARE.format(key="o_orderkey")} < 0.2 THEN 'test' ELSE 'train' END AS split, count(*) AS rows FROM od GROUP BY 1""")
 def _(spark, folder):
     return sp.hash_split(fr.orders(spark, folder), ["o_orderkey"]).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
 

@@ -196,17 +196,22 @@ def _(spark, folder):
     return sm.best_rows(means, [F.desc("mean"), "o_orderpriority"])
 
 
-@query("k7_group_sample")
+DIGEST = "md5(o_orderkey || '|42'), o_orderkey"
+ORDER_OUT = "o_orderkey, o_custkey, o_totalprice, priority, o_orderstatus, y, CAST(day AS VARCHAR) AS day"
+
+
+@query("k7_group_sample", f"WITH {fr.ORDERS} SELECT {ORDER_OUT} FROM od QUALIFY row_number() OVER (PARTITION BY y ORDER BY {DIGEST}) <= 5000", "o_totalprice")
 def _(spark, folder):
     return sm.group_sample(fr.orders(spark, folder), "y", ["o_orderkey"], 5000)
 
 
-@query("k7_binned_sample")
+@query("k7_binned_sample", f"""WITH {fr.ORDERS}, p AS (SELECT *, row_number() OVER (ORDER BY o_totalprice, {DIGEST}) AS place, count(*) OVER () AS n FROM od WHERE o_totalprice IS NOT NULL),
+b AS (SELECT *, CAST(ceil(place * 20 / n::DOUBLE) AS BIGINT) AS bin FROM p) SELECT {ORDER_OUT}, bin FROM b QUALIFY row_number() OVER (PARTITION BY bin ORDER BY {DIGEST}) <= 125""", "o_totalprice")
 def _(spark, folder):
     return sm.binned_sample(fr.orders(spark, folder).where("o_totalprice is not null"), "o_totalprice", ["o_orderkey"])
 
 
-@query("k8_uniform_sample")
+@query("k8_uniform_sample", f"WITH {fr.ORDERS} SELECT {ORDER_OUT} FROM od ORDER BY {DIGEST} LIMIT 1000", "o_totalprice")
 def _(spark, folder):
     return sm.uniform_sample(fr.orders(spark, folder), ["o_orderkey"], 1000)
 

@@ -124,8 +124,11 @@ def test_samples(spark):
     assert sizes == {"rare": 20, "hot": 50}
     picked = sorted(r["id"] for r in sm.uniform_sample(df, ["id"], 100).collect())
     assert picked == sorted(r["id"] for r in sm.uniform_sample(df.repartition(3), ["id"], 100).collect()) and len(set(picked)) == 100
-    bins = sm.value_bins(df, "id", 20).groupBy("bin").count().collect()
+    bins = sm.value_bins(df, "id", ["id"], 20).groupBy("bin").count().collect()
     assert len(bins) == 20 and all(abs(r["count"] - 250) <= 1 for r in bins)
+    hot = df.withColumn("v", F.when(F.col("id") < 4_000, 1.0).when(F.col("id") < 4_990, F.col("id").cast("double")))
+    sizes = {r["bin"]: r["count"] for r in sm.value_bins(hot, "v", ["id"], 20).groupBy("bin").count().collect()}
+    assert sizes.pop(None) == 10 and len(sizes) == 20 and max(sizes.values()) - min(sizes.values()) <= 1
 
 
 def test_guards(spark):
