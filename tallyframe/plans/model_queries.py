@@ -354,7 +354,7 @@ DBSCAN = f"""WITH {PLANE}, near AS (SELECT a.id, b.id AS other FROM pt a JOIN pt
 core AS (SELECT id FROM deg WHERE neighbours >= {MIN_SAMPLES}), link AS (SELECT n.id, n.other FROM near n SEMI JOIN core a ON n.id = a.id SEMI JOIN core b ON n.other = b.id),
 reach AS (SELECT id, id AS root FROM core UNION SELECT l.other, r.root FROM reach r JOIN link l ON l.id = r.id), comp AS (SELECT id, min(root) AS cluster FROM reach GROUP BY 1),
 border AS (SELECT n.id, min(c.cluster) AS cluster FROM near n JOIN comp c ON n.other = c.id GROUP BY 1)
-SELECT d.id, coalesce(comp.cluster, border.cluster, -1) AS cluster, d.neighbours >= {MIN_SAMPLES} AS is_core, d.neighbours FROM deg d LEFT JOIN comp USING (id) LEFT JOIN border USING (id)"""
+SELECT d.id, coalesce(comp.cluster, border.cluster, -1) AS cluster, d.neighbours >= {MIN_SAMPLES} AS is_core FROM deg d LEFT JOIN comp USING (id) LEFT JOIN border USING (id)"""
 
 
 def _plane(spark, folder):
@@ -389,8 +389,9 @@ k AS (SELECT a.id, list_distance(a.f, b.f) AS x FROM pt a, pt b QUALIFY row_numb
 SELECT id, x AS kth_distance FROM k JOIN lab USING (id) WHERE cluster = -1 ORDER BY x DESC, id LIMIT 200""", "kth_distance")
 def _(spark, folder):
     points = _plane(spark, folder).drop("cluster")
-    near = dn.kth_distances(points, points, MIN_SAMPLES)
-    return dn.noise_examples(dn.dbscan(points, EPS, MIN_SAMPLES), near).select("id", "kth_distance")
+    labelled = dn.dbscan(points, EPS, MIN_SAMPLES)
+    noise = points.join(labelled.where("cluster = -1"), "id", "left_semi")
+    return dn.noise_examples(labelled, dn.kth_distances(points, noise, MIN_SAMPLES)).select("id", "kth_distance")
 
 
 @query("g1_kmeans_sweep")
