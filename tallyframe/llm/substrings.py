@@ -29,15 +29,15 @@ from .wordblocks import WordBlock, mixed, run_hashes, sliding
 WINDOW = 20
 TRIPLE = 3
 BUCKET_BYTES = 8 << 20
-PACKED = "bucket int, packed binary, docs binary, starts binary, ends binary"
+PACKED = "bucket int, packed binary, places binary"
 SPANS = "doc_id long, low long, high long"
 
 
 def super_kmers(block: pa.RecordBatch, size: int, buckets: int) -> Iterator[tuple]:
     """Rows of PACKED for a block of (doc_id, text): ``packed`` null means removals already known.
 
-    A packed row holds one string for each of its places: the place's first word is ``starts`` and
-    its first window there up to its last one (``ends``, exclusive) are to be judged.
+    A packed row holds one string for each of its places. A place is a document, a first word and the
+    end (exclusive) of the windows that start there and are to be judged.
     """
     import zstandard
 
@@ -59,19 +59,21 @@ def super_kmers(block: pa.RecordBatch, size: int, buckets: int) -> Iterator[tupl
     bucket = (mixed(least[begin] ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(buckets)).astype(np.int32)
     order = np.lexsort((start, doc, bucket))  # the first place of a string comes first
     data, low, high = text.data.tobytes(), text.starts[begin], text.ends[end + size - 2]
-    packer, later = zstandard.ZstdCompressor(level=1), []
+    packer, later = zstandard.ZstdCompressor(level=3), []
+
+    def places(at: np.ndarray) -> bytes:
+        return packer.compress(np.concatenate([np.diff(doc[at], prepend=0), start[at], end[at] - begin[at]]).tobytes())
+
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]])
     for a, b in zip(cuts[:-1], cuts[1:]):
-        strings, places = {}, []
+        strings, here = {}, []
         for i in order[a:b].tolist():
             string = data[low[i]:high[i]]
-            (later if string in strings else places).append(i)
+            (later if string in strings else here).append(i)
             strings.setdefault(string, i)
-        at = np.array(places)
-        yield (int(bucket[at[0]]), packer.compress(b"\n".join(strings)), doc[at].tobytes(), start[at].tobytes(), (start[at] + end[at] - begin[at]).tobytes())
+        yield int(bucket[here[0]]), packer.compress(b"\n".join(strings)), places(np.array(here))
     if later:
-        at = np.array(later)
-        yield zlib.crc32(data[:256]) % buckets, None, doc[at].tobytes(), start[at].tobytes(), (start[at] + end[at] - begin[at]).tobytes()
+        yield zlib.crc32(data[:256]) % buckets, None, places(np.array(later))
 
 
 def repeated_starts(strings: bytes, doc: np.ndarray, start: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,9 +141,8 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW, bucket_bytes: int = BUCK
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
             rows = list(super_kmers(block, size, buckets))
-            kinds = [pa.int32(), *[pa.binary()] * 4]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds],
-                                  ["bucket", "packed", "docs", "starts", "ends"])
+            kinds = [pa.int32(), pa.binary(), pa.binary()]
+            yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["bucket", "packed", "places"])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -149,7 +150,8 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW, bucket_bytes: int = BUCK
         unpack, held, bucket = zstandard.ZstdDecompressor(), [], None
 
         def settle():
-            found = [(np.frombuffer(d, np.int64), np.frombuffer(s, np.int64), np.frombuffer(e, np.int64)) for _, d, s, e in held]
+            found = [np.frombuffer(unpack.decompress(p), np.int64).reshape(3, -1) for _, p in held]
+            found = [(np.cumsum(d), low, low + n) for d, low, n in found]
             known = [f for f, h in zip(found, held) if h[0] is None]
             new = [f for f, h in zip(found, held) if h[0] is not None]
             parts = [(d, s, e + size - 1) for d, s, e in known]
@@ -165,7 +167,7 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW, bucket_bytes: int = BUCK
                     yield settle()
                     held = []
                 bucket = row["bucket"]
-                held.append((row["packed"], row["docs"], row["starts"], row["ends"]))
+                held.append((row["packed"], row["places"]))
         if held:
             yield settle()
 
@@ -186,22 +188,33 @@ def substring_dedup(docs: DataFrame, size: int = WINDOW, with_text: bool = False
     """
     spans = written(repeated_spans(docs, size), "spans")
     spans = spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("spans"))
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        packer = zstandard.ZstdCompressor(level=1)
         for block in blocks(batches, "text"):
-            rows = [kept(t or "", s or []) for t, s in zip(block.column("text").to_pylist(), block.column("spans").to_pylist())]
+            texts = [packer.compress((t or "").encode()) for t in block.column("text").to_pylist()]
+            yield pa.record_batch([block.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "packed"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor()
+        for block in blocks(batches, "packed"):
+            rows = [kept(unpack.decompress(t), s or []) for t, s in zip(block.column("packed").to_pylist(), block.column("spans").to_pylist())]
             columns = [pa.array(c) for c in zip(*rows)]
             yield pa.record_batch([block.column("doc_id"), *columns][:len(names)], names)
 
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept_text"] * with_text
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
+    texts = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(shrink, "doc_id long, packed binary")
     return texts.join(spans, "doc_id", "left").mapInArrow(cut, schema)
 
 
-def kept(text: str, spans: list[dict]) -> tuple[int, int, str, str]:
+def kept(text: bytes, spans: list[dict]) -> tuple[int, int, str, str]:
     """Words, removed words, SHA-256 of the kept words, the kept words; ``spans`` sorted by ``low``."""
-    found = [w for run in word_runs(text.encode()) for w in run]
+    found = [w for run in word_runs(text) for w in run]
     left, at = [], 0
     for span in spans:
         left += found[at:span["low"]] if span["low"] > at else []
