@@ -126,12 +126,12 @@ def fill_block(rows: list[int], sizes: list[int], budget: int, swaps: int = 8) -
     return [rows[i] for i in np.flatnonzero(taken)]
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a row number, word count, null-safe source key, hash order; written once."""
+def numbered(docs: DataFrame, without: tuple = ()) -> DataFrame:
+    """``docs`` with a row number, word count, null-safe source key and hash order; written once, some columns left out."""
     key = F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("s"), F.col("source").cast("string")))
     return written(docs.withColumns({
         "_row": F.monotonically_increasing_id(), "_size": word_count(F.col("text")), "_key": key,
-        "_spread": F.xxhash64(F.lit(SEED), "doc_id", key), "_place": F.xxhash64(F.lit(SEED + 1), "doc_id", key)}), "numbered")
+        "_spread": F.xxhash64(F.lit(SEED), "doc_id", key), "_place": F.xxhash64(F.lit(SEED + 1), "doc_id", key)}).drop(*without), "numbered")
 
 
 def plan(rows: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, blocks: int = BLOCKS, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, int]:
@@ -203,7 +203,7 @@ def mixed_counts(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP) ->
     source. Repeated rows are taken on their own. The draw depends on ids and sources alone, so reruns
     agree. An empty table gives no rows.
     """
-    rows = numbered(docs.select("doc_id", "source", "text")).drop("text")
+    rows = numbered(docs.select("doc_id", "source", "text"), ("text",))
     sources, draws, _ = plan(rows, weights, cap)
     times = drawn(rows, sources, draws).groupBy("_row").agg(F.count("*").alias("times"))
     return rows.join(times, "_row", "left").join(sources.select("_key", "source_size", "target"), "_key").select(
