@@ -10,6 +10,7 @@ from ..operators import metrics as mt
 from ..operators import modeling as md
 from ..operators import panel as pn
 from ..operators import reduce as rd
+from ..operators import splits as sp
 from ..sources.tables import read_table
 from . import flows
 from . import frames as fr
@@ -134,12 +135,22 @@ FEATURES = ["o_totalprice", "c_acctbal", "year", "c_mktsegment", "o_orderpriorit
 EXCLUSIONS = {"final": ["large"], "large": ["o_totalprice", "final"]}
 
 
-@query("d3_preprocessor")
+WIDE = """w AS (SELECT o_orderkey, o_totalprice, c_acctbal, year(o_orderdate)::DOUBLE AS year, c_mktsegment, o_orderpriority FROM orders JOIN customer ON o_custkey = c_custkey),
+seg AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT c_mktsegment AS v FROM w)),
+pri AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT o_orderpriority AS v FROM w))"""
+
+
+@query("d3_preprocessor", f"""WITH {WIDE}, z AS (SELECT o_orderkey, (o_totalprice - avg(o_totalprice) OVER ()) / stddev_pop(o_totalprice) OVER () AS a,
+  (c_acctbal - avg(c_acctbal) OVER ()) / stddev_pop(c_acctbal) OVER () AS b, coalesce((year - avg(year) OVER ()) / nullif(stddev_pop(year) OVER (), 0), 0) AS c FROM w)
+SELECT o_orderkey, 0::BIGINT AS slot, a AS value FROM z UNION ALL SELECT o_orderkey, 1, b FROM z UNION ALL SELECT o_orderkey, 2, c FROM z
+UNION ALL SELECT o_orderkey, 3 + code, (c_mktsegment = v)::INT::DOUBLE FROM w, seg
+UNION ALL SELECT o_orderkey, 3 + (SELECT count(*) FROM seg) + code, (o_orderpriority = v)::INT::DOUBLE FROM w, pri""", "value")
 def _(spark, folder):
+    """Every slot of the encoded vector of every order."""
     df = _orders_wide(spark, folder)
     prep = md.fit_preprocessor(df, *md.split_columns(df, FEATURES))
     from pyspark.ml.functions import vector_to_array
-    return prep.transform(df).select("o_orderkey", vector_to_array("features_vector").alias("encoded"))
+    return prep.transform(df).select("o_orderkey", F.posexplode(vector_to_array("features_vector")).alias("slot", "value"))
 
 
 def _grid(spark, folder):
@@ -159,10 +170,13 @@ def _(spark, folder):
 
 @query("m1_logistic_predictions")
 def _(spark, folder):
-    df = _orders_wide(spark, folder).withColumn("label", (F.col("large") == "yes").cast("double"))
-    prep = md.fit_preprocessor(df, *md.split_columns(df, ["c_acctbal", "year", "c_mktsegment", "o_orderpriority"]))
-    ready = md.balanced_weights(prep.transform(df), "label")
-    return md.logistic(ready.count()).fit(ready).transform(ready).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    """Held-out predictions of the balanced logistic regression."""
+    df = sp.stratified_split(_orders_wide(spark, folder).withColumn("label", (F.col("large") == "yes").cast("double")), "large", ["o_orderkey"])
+    train = df.where("split = 'train'")
+    prep = md.fit_preprocessor(train, *md.split_columns(df, ["c_acctbal", "year", "c_mktsegment", "o_orderpriority"]))
+    ready = md.balanced_weights(prep.transform(train), "label")
+    scored = md.logistic(ready.count()).fit(ready).transform(prep.transform(df.where("split = 'test'")))
+    return scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("m2_forest_importances")
@@ -197,24 +211,24 @@ def _(spark, folder):
 
 @query("m4_forest_forecast")
 def _(spark, folder):
-    return flows.forecast(_ready(spark, folder), trees=20, depth=8, models=["random_forest"]).metrics.drop("fit_seconds", "predict_seconds")
+    return flows.forecast(_ready(spark, folder), models=["random_forest"]).metrics.drop("fit_seconds", "predict_seconds")
 
 
 @query("m6_expanding_cv")
 def _(spark, folder):
     train = _ready(spark, folder).where("split = 'train'")
-    return md.expanding_cv(train, flows.FORECAST_NUMERIC, ["Name"], models=["linear_regression"], parallelism=5).drop("fit_seconds", "predict_seconds")
+    return md.expanding_cv(train, flows.FORECAST_NUMERIC, ["Name"], parallelism=5).drop("fit_seconds", "predict_seconds")
 
 
 @query("m7_predictions_table")
 def _(spark, folder):
-    result = flows.forecast(_ready(spark, folder), models=["linear_regression"])
-    return result.predictions.select("Name", "date", "target_date", "close", "target_close_next", "pred_naive", "pred_linear_regression")
+    result = flows.forecast(_ready(spark, folder))
+    return result.predictions.select("Name", "date", "target_date", "close", "target_close_next", "pred_naive", "pred_linear_regression", "pred_random_forest")
 
 
 @query("m8_feature_importance")
 def _(spark, folder):
-    return flows.forecast(_ready(spark, folder), trees=10, depth=6, models=["random_forest"]).importances
+    return flows.forecast(_ready(spark, folder), models=["random_forest"]).importances
 
 
 @query("m16_actual_vs_predicted", f"""WITH {TARGETED} SELECT CAST(target_date AS VARCHAR) AS target_date, round(target_close_next, 4) AS actual, round(close, 4) AS predicted, 'naive' AS model
@@ -396,7 +410,7 @@ def _(spark, folder):
 
 @query("g1_kmeans_sweep")
 def _(spark, folder):
-    return cl.kmeans_sweep(fr.vectors(spark, folder).persist(), "id", range(2, 6), max_iter=40)[0]
+    return cl.kmeans_sweep(fr.vectors(spark, folder).persist(), "id", max_iter=500)[0]
 
 
 @query("g13_divisive_hierarchy")
@@ -422,9 +436,10 @@ def _(spark, folder):
     return _space(spark, folder).loadings
 
 
-@query("d6_feature_space_summary")
+@query("d6_feature_space_summary", f"""WITH {WIDE} SELECT count(*) AS rows, 5::BIGINT AS original_feature_count, 3::BIGINT AS numerical_feature_count, 2::BIGINT AS categorical_feature_count,
+  3 + (SELECT count(*) FROM seg) + (SELECT count(*) FROM pri) AS encoded_feature_count, 10::BIGINT AS component_count FROM w""")
 def _(spark, folder):
-    return _space(spark, folder).summary
+    return _space(spark, folder).summary.drop("explained_variance_ratio")
 
 
 @query("d5_pca_2d")
@@ -453,7 +468,7 @@ def _(spark, folder):
 
 @query("flow_session_segmentation")
 def _(spark, folder):
-    return flows.session_segmentation(fr.bars(spark, folder), range(2, 5), seeds=[42], max_iter=30)[2]
+    return flows.session_segmentation(fr.bars(spark, folder))[2]
 
 
 @query("flow_session_density")
