@@ -20,7 +20,7 @@ _POWERS: dict[int, np.ndarray] = {}
 
 def powers(base: np.uint64, size: int) -> np.ndarray:
     """base**0, base**1, ... modulo 2**64; a worker keeps the longest row it has needed of each base."""
-    if len(have := _POWERS.get(int(base), np.zeros(0))) < size:
+    if int(base) not in _POWERS or len(_POWERS[int(base)]) < size:
         have = np.full(size + (size >> 3) + 1024, base, np.uint64)
         have[0] = 1
         _POWERS[int(base)] = np.multiply.accumulate(have, out=have)

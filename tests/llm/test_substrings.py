@@ -67,3 +67,14 @@ def test_all_test_documents_against_brute_force(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     want = plain([(r.doc_id, r.text) for r in df.collect()], 20)
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup(df).collect()} == want
+
+
+def test_blocks_without_words():
+    import pyarrow as pa
+
+    from tallyframe.llm import wordblocks
+
+    wordblocks._POWERS.clear()
+    for texts in ([], [None], ["", " \n"]):
+        block = wordblocks.WordBlock(pa.array(texts, pa.string()))
+        assert len(block.hashes()) == 0 and list(block.n_words) == [0] * len(texts)
