@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,7 @@ def spark_session(app: str = "tallyframe", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -30,7 +33,7 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
     """Point the context at the cluster's checkpoint folder.
 
     ``spark.checkpoint.dir`` wins. A local session without the setting (tests, a laptop) gets a
-    scratch folder; a cluster session without it is an error, because executors would not share it.
+    scratch folder that goes with the process; a cluster session without it is an error, because executors would not share it.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -42,7 +45,9 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
         return
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyframe-checkpoint-"))
+    scratch = tempfile.mkdtemp(prefix="tallyframe-checkpoint-")
+    atexit.register(shutil.rmtree, scratch, ignore_errors=True)
+    context.setCheckpointDir(scratch)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
