@@ -133,7 +133,6 @@ def fit_kmeans(df: DataFrame, k: int, features: str = "features", seeds: Sequenc
     """Best of several seeded fits by training cost."""
     vectors = held_for_training(df.select(array_to_vector(F.col(features)).alias("vector")))
     fits = [KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="vector", predictionCol="cluster").fit(vectors) for s in seeds]
-    vectors.unpersist()
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
@@ -160,7 +159,6 @@ def kmeans_sweep(df: DataFrame, key: str, k_values: Sequence[int] = K_RANGE, fea
             k, float(model.summary.trainingCost), silhouette(labelled, key, features=features).first()[0],
             calinski_harabasz(labelled, features=features).first()[0], davies_bouldin(labelled, features=features).first()[0],
         ))
-    df.unpersist()
     table = df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, calinski_harabasz double, davies_bouldin double")
     return table, models
 
@@ -245,7 +243,6 @@ def divisive_hierarchy(df: DataFrame, k: int, features: str = "features", seed:
     """Top-down hierarchy cut at K on all rows: splits the loosest cluster until K remain."""
     vectors = held_for_training(df.select(array_to_vector(F.col(features)).alias("vector")))
     model = BisectingKMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="vector", predictionCol="cluster").fit(vectors)
-    vectors.unpersist()
     return model
 
 

@@ -172,7 +172,6 @@ def fit_regressors(train: DataFrame, test: DataFrame, numeric: Sequence[str], ca
             prep = fit_preprocessor(train, numeric, categorical, encode, scale)
             rows = held_for_training(prep.transform(train).select("features_vector", F.col(target).cast("double").alias("label")))
             model = estimator.fit(rows)
-            rows.unpersist()
             return PipelineModel(stages=[*prep.stages, model])
 
         kept = scored.columns

@@ -62,19 +62,16 @@ def best_model_series(metrics: DataFrame, predictions: DataFrame, entity: str) -
 
 
 def standardised_sessions(bars: DataFrame) -> DataFrame:
-    """Session rows with a long id from the panel key and the z-scored feature array.
-
-    The id is a 63-bit hash of (Name, date); a collision would surface in ``assert_unique``.
-    """
+    """Session rows with a row number as id, written with them, and the z-scored feature array."""
     sessions = pn.session_features(bars)
     scaled = ZScaler(pn.SESSION_FEATURES, suffix="_z").fit(sessions).transform(sessions)
     columns = [f"{c}_z" for c in pn.SESSION_FEATURES]
-    return scaled.withColumn("id", F.xxhash64("Name", "date").bitwiseAND(F.lit(2**63 - 1))).withColumn("features", F.array(*columns))
+    return checkpointed(scaled.withColumn("id", F.monotonically_increasing_id()).withColumn("features", F.array(*columns)))
 
 
 def session_segmentation(bars: DataFrame, k_values: Sequence[int] = cl.K_RANGE, seeds: Sequence[int] = (42, 43), max_iter: int = 55):
     """K sweep on all sessions, K by elbow and silhouette margin, labels and cluster profile."""
-    sessions = standardised_sessions(bars).persist()
+    sessions = standardised_sessions(bars)
     table, models = cl.kmeans_sweep(sessions, "id", k_values, seeds=seeds, max_iter=max_iter)
     chosen = cl.choose_k_by_margin(table).first()["selected_k"]
     labelled = cl.assign_nearest(sessions, cl.centres_of(models[chosen]))
@@ -90,7 +87,7 @@ def session_density(bars: DataFrame, min_samples: int = 12, eps_quantile: float
 
     sessions = v.assert_unique(standardised_sessions(bars), ["id"])
     placed, _ = pca_coordinates(sessions, [f"{c}_z" for c in pn.SESSION_FEATURES], ["id"])
-    placed = placed.persist()
+    placed = checkpointed(placed)
     # The point itself is the zeroth neighbour here, so the k-th other point is asked for.
     near = dn.kth_distances(placed, placed, min_samples + 1)
     eps = fitted_quantiles(near, ["kth_distance"], [eps_quantile])["kth_distance"][0]
@@ -112,7 +109,7 @@ def feature_space(df: DataFrame, features: Sequence[str], key: str, components:
     prep = md.fit_preprocessor(basis, numeric, categorical)
     encoded_fit = prep.transform(basis)
     names = md.slot_names(encoded_fit)
-    encoded = encoded_fit.select("features_vector").persist()
+    encoded = checkpointed(encoded_fit.select("features_vector"))
     svd = TruncatedSvd(components, "features_vector").fit(encoded)
     rows = svd.transform(prep.transform(df)).select(key, "features")
     return FeatureSpace(rows, svd, feature_space_summary(df, numeric, categorical, len(names), svd), svd.loadings(df, names))
@@ -124,7 +121,7 @@ def stability(df: DataFrame, features: Sequence[str], key: str, k: int = 5, eps:
     split = sp.hash_split(df, [key], seed=seed)
     train = split.where(F.col("split") == "train")
     space = feature_space(split, features, key, components, fit_on=train)
-    rows = space.rows.join(split.select(key, "split"), key).persist()
+    rows = checkpointed(space.rows.join(split.select(key, "split"), key))
     fit_rows, test_rows = rows.where(F.col("split") == "train"), rows.where(F.col("split") == "test")
     labelled = cl.predict(cl.fit_kmeans(fit_rows, k), rows, cluster="kmeans")
     labelled = cl.predict(cl.divisive_hierarchy(fit_rows, k), labelled, cluster="hierarchy")
@@ -132,7 +129,7 @@ def stability(df: DataFrame, features: Sequence[str], key: str, k: int = 5, eps:
     core = fit_rows.join(dense.where("is_core"), key).select(key, "features", "cluster")
     out = dn.nearest_within(test_rows, core, eps, key).select(key, "cluster")
     labels = dense.select(key, "cluster").unionByName(out).withColumnRenamed("cluster", "dbscan")
-    labelled = labelled.join(labels, key).persist()
+    labelled = checkpointed(labelled.join(labels, key))
     table = cl.stability_table(labelled, key, ["kmeans", "hierarchy", "dbscan"])
     return table, labelled.select(key, "split", "kmeans", "hierarchy", "dbscan")
 

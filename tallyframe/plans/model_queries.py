@@ -410,13 +410,13 @@ def _(spark, folder):
 
 @query("g1_kmeans_sweep")
 def _(spark, folder):
-    return cl.kmeans_sweep(fr.vectors(spark, folder).persist(), "id", max_iter=500)[0]
+    return cl.kmeans_sweep(fr.vectors(spark, folder), "id", max_iter=500)[0]
 
 
 @query("g13_divisive_hierarchy")
 def _(spark, folder):
     """Divisive hierarchy against K-means at the same K: adjusted Rand index."""
-    df = fr.vectors(spark, folder).persist()
+    df = fr.vectors(spark, folder)
     labelled = cl.predict(cl.fit_kmeans(df, 5, seeds=[42]), df, cluster="kmeans")
     labelled = cl.predict(cl.divisive_hierarchy(df, 5), labelled, cluster="hierarchy")
     return mt.adjusted_rand(labelled, "kmeans", "hierarchy")

@@ -57,17 +57,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def held_for_training(df: DataFrame) -> DataFrame:
-    """Cache rows an iterative fit reads many times, spread over every core.
+    """Write rows an iterative fit reads many times to the checkpoint folder, spread over every core.
 
     Small inputs arrive in one or two partitions after adaptive coalescing and would train on one
-    core; inputs with enough partitions are left as they are. The caller unpersists.
+    core; inputs with enough partitions are left as they are. Nothing stays cached: the files go when
+    nothing refers to them any more.
     """
-    cached = df.persist()
-    cached.count()
+    held = checkpointed(df)
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if cached.rdd.getNumPartitions() >= cores:
-        return cached
-    spread = cached.repartition(cores).persist()
-    spread.count()
-    cached.unpersist()
-    return spread
+    return held if held.rdd.getNumPartitions() >= cores else checkpointed(held.repartition(cores))
