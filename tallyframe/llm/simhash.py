@@ -151,18 +151,25 @@ def simhash_components(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each near-duplicate class: the smallest ``doc_id``, nulls last.
+    """``docs`` with one row of each near-duplicate class: that of the smallest ``doc_id``.
 
-    Rows with the same ``doc_id`` are told apart by a row number that is written with them.
+    Rows that share their ``doc_id`` are one document and leave one row. Rows without an id stay only
+    where their class has no id at all, again one row a class. Texts are read twice and travel once.
     """
-    held = written(with_fingerprint(docs, "_fp").withColumn("_row", F.monotonically_increasing_id()), "fingerprinted")
-    keyed = held.select("doc_id", F.col("_fp").alias("fp"), "_row")
-    nodes = keyed.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")).alias("least"))
-    nodes = written(nodes, "nodes")
-    roots = components(close_pairs(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
-    rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    stay = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least._row").alias("_row"))
-    return held.join(stay, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = written(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fp"), "fingerprints")
+    classes = written(near_duplicates(keyed, radius).select("doc_id", "fp", "component_id"), "classes")
+    stay = classes.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # Nameless classes are rare: their rows find each other by the class's smallest fingerprint.
+    nameless = classes.where("component_id is null")
+    if nameless.isEmpty():
+        return named.select(*columns)
+    nodes = nameless.select("fp").distinct()
+    roots = components(close_pairs(nodes, radius)).select(F.col("node").alias("_fp"), F.col("root").alias("_top"))
+    rest = with_fingerprint(docs.where("doc_id is null"), "_fp").join(nodes.withColumnRenamed("fp", "_fp"), "_fp", "left_semi")
+    rest = rest.join(roots, "_fp", "left").withColumn("_root", F.coalesce("_top", "_fp")).dropDuplicates(["_root"])
+    return named.select(*columns).unionByName(rest.select(*columns))
 
 
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

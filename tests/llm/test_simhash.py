@@ -77,6 +77,9 @@ def test_documents(spark):
     stays = one_of_each(df)
     assert stays.columns == df.columns
     assert sorted(r.doc_id for r in stays.collect()) == ([3, 7, 8] if linked else [3, 5, 7, 8])
+    lonely = df.unionByName(spark.createDataFrame([(None, "all alone in here", "x"), (None, "all alone in here", "y")], df.schema))
+    assert [r.text for r in one_of_each(lonely).where("doc_id is null").collect()] == ["all alone in here"]
+    assert one_of_each(df.limit(0)).count() == 0
 
 
 def test_all_test_documents_against_brute_force(spark):
