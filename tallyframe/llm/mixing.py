@@ -27,6 +27,7 @@ BLOCKS = 512  # most blocks of a source
 BLOCK_ROWS = 64  # fewest rows of a block, where a source has so many
 SHARDS = 16  # fewest shards
 SHARD_WORDS = 8_000_000
+BROADCAST_DRAWS = 100_000  # some 5 MB; more draws (hundreds of sources) are joined by shuffle
 SEED = 11
 
 
@@ -138,7 +139,7 @@ def plan(rows: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, blocks: in
     """(sources, draws, shards) of a mix of numbered ``rows``.
 
     ``sources``: ``source``, ``_key``, ``source_size``, ``target``, ``_blocks``. ``draws``: one row a
-    draw of a block: ``_key``, ``_block``, ``copy``, ``shard``, ``budget`` (null: the whole block, else
+    draw of a block: ``_key``, ``_block``, ``_copy``, ``_shard``, ``_budget`` (null: the whole block, else
     the words to take from it).
     """
     sizes = written(rows.groupBy("source", "_key").agg(F.sum("_size").alias("source_size"), F.count("*").alias("n")), "sizes")
@@ -157,7 +158,7 @@ def plan(rows: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, blocks: in
     edge = ~whole & (F.col("before") < F.col("rest"))
     copies = F.col("rounds") + (whole | edge).cast("long")
     one = F.transform(F.sequence(F.lit(1).cast("long"), copies), lambda i: F.struct(
-        i.alias("copy"), F.when(edge & (i > F.col("rounds")), F.col("rest") - F.col("before")).alias("budget")))
+        i.alias("_copy"), F.when(edge & (i > F.col("rounds")), F.col("rest") - F.col("before")).alias("_budget")))
     draws = written(table.where(copies > 0).select("_key", "_block", F.inline(one)), "draws")
 
     owing = sorted((r["_key"], r["n"]) for r in draws.groupBy("_key").agg(F.count("*").alias("n")).collect())  # a row a source
@@ -166,10 +167,11 @@ def plan(rows: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP, blocks: in
     cuts = split_draws(np.array([n for _, n in owing]), shards).cumsum(axis=0)
     spark = rows.sparkSession
     ranges = spark.createDataFrame([(k, cuts[:, i].tolist()) for i, (k, _) in enumerate(owing)], "_key string, cuts array<long>")
-    permuted = Window.partitionBy("_key").orderBy(F.xxhash64(F.lit(SEED + 3), "_key", "_block", "copy"), "_block", "copy")
+    permuted = Window.partitionBy("_key").orderBy(F.xxhash64(F.lit(SEED + 3), "_key", "_block", "_copy"), "_block", "_copy")
     draws = draws.withColumn("_turn", F.row_number().over(permuted)).join(ranges, "_key")
     shard = F.size(F.filter("cuts", lambda c: c < F.col("_turn")))
-    return sources, written(draws.select("_key", "_block", "copy", "budget", shard.alias("shard")), "dealt"), shards
+    draws = written(draws.select("_key", "_block", "_copy", "_budget", shard.alias("_shard")), "dealt")
+    return sources, F.broadcast(draws) if sum(n for _, n in owing) <= BROADCAST_DRAWS else draws, shards
 
 
 def in_blocks(rows: DataFrame, sources: DataFrame) -> DataFrame:
@@ -179,19 +181,20 @@ def in_blocks(rows: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def drawn(rows: DataFrame, sources: DataFrame, draws: DataFrame) -> DataFrame:
-    """The mix: every drawn row with ``copy`` and ``shard``; rows drawn twice appear twice."""
+    """The mix: every drawn row with ``_copy`` and ``_shard``; rows drawn twice appear twice."""
     dealt = in_blocks(rows, sources)
-    whole = dealt.join(draws.where("budget is null").drop("budget"), ["_key", "_block"])
+    whole = dealt.join(draws.where("_budget is null").drop("_budget"), ["_key", "_block"])
     # One block a source is drawn in part; its rows (numbers only) meet in one task.
-    part = dealt.join(draws.where("budget is not null"), ["_key", "_block"])
+    part = dealt.join(draws.where("_budget is not null"), ["_key", "_block"])
 
     def fill(table: pa.Table) -> pa.Table:
         at = np.lexsort((table.column("_row").to_numpy(), table.column("_place").to_numpy()))
         rows, sizes = table.column("_row").to_numpy()[at].tolist(), table.column("_size").to_numpy()[at].tolist()
-        return pa.table({"_row": pa.array(fill_block(rows, sizes, table.column("budget")[0].as_py()), pa.int64())})
+        return pa.table({"_row": pa.array(fill_block(rows, sizes, table.column("_budget")[0].as_py()), pa.int64())})
 
-    chosen = part.select("_key", "_block", "_row", "_size", "_place", "budget").groupBy("_key", "_block").applyInArrow(fill, "_row long")
-    return whole.unionByName(part.join(chosen, "_row", "left_semi").drop("budget"))
+    chosen = part.select("_key", "_block", "_row", "_size", "_place", "_budget").groupBy("_key", "_block").applyInArrow(fill, "_row long")
+    # An inner join: a semi join would be pushed below the join with the draws and shuffle every row.
+    return whole.unionByName(part.join(chosen, "_row").drop("_budget"))
 
 
 def mixed_counts(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP) -> DataFrame:
@@ -218,8 +221,9 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP)
     rows = numbered(docs)
     sources, draws, shards = plan(rows.drop("text"), weights, cap)
     mix = drawn(rows, sources, draws)
-    dealt = mix.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64(F.lit(SEED + 4), "_row", "copy"))
-    return dealt.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("copy").alias("mix_copy"), F.col("shard").alias("mix_shard"))
+    dealt = mix.repartition(shards, "_shard").sortWithinPartitions("_shard", F.xxhash64(F.lit(SEED + 4), "_row", "_copy"))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("mix_copy", "mix_shard")]
+    return dealt.select(*kept, F.col("_copy").alias("mix_copy"), F.col("_shard").alias("mix_shard"))
 
 
 def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:

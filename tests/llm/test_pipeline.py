@@ -78,3 +78,17 @@ def test_run_gives_the_last_stage(spark, kept):
     got = corpus_pipeline.run(spark, FOLDER)
     assert sorted((r.doc_id, r.mix_copy) for r in got.collect()) == sorted((r.doc_id, r.mix_copy) for r in kept[-1][1])
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_stages_take_odd_tables(spark):
+    """Nulls in every column, an empty table, repeated rows and extra columns with the names that stages use inside."""
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, text, "en", "a"), (1, text, "en", "a"), (None, None, None, None), (2, "", None, "a"), (3, text + " me@x.com", "en", None), (None, text, None, None)]
+    names = ("n_words", "kept", "fp", "root", "component_id", "copy", "shard", "budget", "size", "target", "spans", "candidates", "stratum", "symbols", "mix_copy")
+    table = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    table = table.withColumns({n: table.n_chars for n in names})
+    for docs in (table, table.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, FOLDER)
+            want = docs.columns if name != "source_mixing" else [c for c in docs.columns if c != "mix_copy"] + ["mix_copy", "mix_shard"]
+            assert out.columns == want and out.count() >= (0 if docs is not table else 1)
