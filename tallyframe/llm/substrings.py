@@ -8,7 +8,8 @@ first; hashes only order the windows, word numbers decide equality.
 
 Hot passages: within a task's block of texts a super-k-mer's string is sent once however often it
 occurs. Only its first place there has to be judged by the bucket. The other places certainly come
-later, so their removal is already known and goes to any bucket, spread evenly.
+later, so their removal is already known and goes to any bucket, spread evenly. Repeated rows are the
+same place and go nowhere.
 """
 
 from __future__ import annotations
@@ -69,8 +70,11 @@ def super_kmers(block: pa.RecordBatch, size: int, buckets: int) -> Iterator[tupl
         strings, here = {}, []
         for i in order[a:b].tolist():
             string = data[low[i]:high[i]]
-            (later if string in strings else here).append(i)
-            strings.setdefault(string, i)
+            first = strings.setdefault(string, i)
+            if first == i:
+                here.append(i)
+            elif (doc[i], start[i]) != (doc[first], start[first]):  # else a repeated row: the same place
+                later.append(i)
         yield int(bucket[here[0]]), packer.compress(b"\n".join(strings)), places(np.array(here))
     if later:
         yield zlib.crc32(data[:256]) % buckets, None, places(np.array(later))

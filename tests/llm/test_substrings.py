@@ -55,6 +55,13 @@ def test_edges(spark):
     assert substring_dedup(df.limit(0)).count() == 0
 
 
+def test_repeated_rows_are_one_place_in_any_partitioning(spark):
+    text = " ".join(map(str, range(50)))
+    df = spark.createDataFrame([(4, text), (9, text), (4, text)], "doc_id long, text string")
+    for parts in (df.coalesce(1), df.repartition(3)):
+        assert sorted((r.doc_id, r.n_removed) for r in substring_dedup(parts).collect()) == [(4, 0), (4, 0), (9, 50)]
+
+
 def test_equal_hashes_of_different_windows_are_told_apart(monkeypatch):
     from tallyframe.llm import substrings
 
