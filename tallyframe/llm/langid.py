@@ -2,10 +2,15 @@
 
 Spark counts the character n-grams of every training document per language. From these counts one
 model per language is built: absolute discounting of the highest order, continuation counts (in how
-many contexts an n-gram follows) below it, and interpolation down to a uniform letter. The models
-share one sorted array of n-gram hashes per order with a column of log probabilities per language,
-so a text position takes one binary search for all languages; n-grams that no language has are
-backed off position by position.
+many contexts an n-gram follows) below it, and interpolation down to a uniform letter. Discounts and
+continuation counts are Spark aggregates over all n-grams; none is left out. The models share one
+sorted array of n-gram hashes per order with a column of log probabilities per language, so a text
+position takes one binary search for all languages; n-grams that no language has are backed off
+position by position.
+
+The model travels in blocks of bounded size. A block has some languages and, above single characters,
+the n-grams with some characters before the last one. All n-grams and contexts that a text position
+looks up have the same character there, so each position is scored by one block of each language.
 
 A text gets the language with the lowest cross-entropy per character. Two numbers are calibrated on
 training documents that the calibrated model has not seen: how sharply entropy gaps turn into a
@@ -19,14 +24,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, read_table, written
+from .common import BLOCK_BYTES, blocks, read_table, written
 from .wordblocks import BASE, mixed, powers, run_hashes
 
 ORDER = 4
-MAX_GRAMS = 1_000_000  # n-grams of all models together: bounds the broadcast to some 100 MB
+BLOCK_GRAMS = 1_000_000  # (language, n-gram) pairs of a block of the model
+BLOCK_CELLS = 8_000_000  # at most so many n-grams times languages of a block: some 100 MB
+BLOCK_LANGUAGES = 16
+TEXT_BYTES = 64 << 20  # text that is scored while one of several blocks is held
 PIECE = 1 << 20
 SHARPNESS = tuple(float(2**k) for k in range(0, 9))
 THRESHOLDS = tuple(k / 20 for k in range(0, 20))
@@ -105,30 +115,47 @@ def hash_rows(grams: np.ndarray) -> np.ndarray:
     return mixed(((grams.astype(np.uint64) + np.uint64(1)) * powers(BASE, grams.shape[1])).sum(axis=1, dtype=np.uint64))
 
 
+def discount(once: int, twice: int) -> float:
+    return once / (once + 2 * twice) if once and once + 2 * twice else 0.5
+
+
+def code_points(grams: list[str], k: int) -> np.ndarray:
+    """Code points of grams of ``k`` characters, a gram a row."""
+    return np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, k)
+
+
 class KneserNey:
-    """Models of all languages over shared sorted hash arrays."""
+    """Models of some languages over shared sorted hash arrays.
+
+    ``counts`` has for each order the n-grams (a row of code points each) and counts of each language.
+    Where ``middles`` is given, only the n-grams with such a character before the last one are there,
+    and only positions with such a character before them are scored.
+    """
 
     def __init__(self, table: dict[str, tuple[list[str], np.ndarray]], order: int = ORDER):
-        self.order, self.languages = order, sorted(table)
-        raw = {}
-        for lang, (grams, counts) in table.items():
-            codes = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, order)
-            raw[lang] = (codes, np.asarray(counts, np.float64))
-        every = np.unique(np.concatenate([c[:, -1] for c, _ in raw.values()])) if raw else np.zeros(0)
-        self.floor = -np.log(len(every) + 1.0)  # a character that no language has
+        counts = {order: {lang: (code_points(grams, order), np.asarray(n, np.float64)) for lang, (grams, n) in table.items()}}
+        for k in range(order - 1, 0, -1):  # in how many contexts: the distinct (k + 1)-grams that end in it
+            found = {lang: np.unique(codes[:, 1:], axis=0, return_counts=True) for lang, (codes, _) in counts[k + 1].items()}
+            counts[k] = {lang: (codes, n.astype(np.float64)) for lang, (codes, n) in found.items()}
+        discounts = {(lang, k): discount((n == 1).sum(), (n == 2).sum()) for k, found in counts.items() for lang, (_, n) in found.items()}
+        alphabet = len(np.unique(np.concatenate([c for c, _ in counts[1].values()]))) if table else 0
+        self._build(sorted(table), counts, discounts, alphabet, order)
+
+    @classmethod
+    def block(cls, languages: list[str], counts: dict, discounts: dict, alphabet: int, order: int, middles: np.ndarray | None) -> KneserNey:
+        """A part of a larger model; ``discounts`` and ``alphabet`` are those of the whole."""
+        self = cls.__new__(cls)
+        self._build(languages, counts, discounts, alphabet, order, middles)
+        return self
+
+    def _build(self, languages: list[str], counts: dict, discounts: dict, alphabet: int, order: int, middles: np.ndarray | None = None) -> None:
+        self.order, self.languages, self.middles = order, languages, middles
+        self.floor = -np.log(alphabet + 1.0)  # a character that no language has
         self.keys, self.logs, self.heads, self.shares = [], [], [], []
         for k in range(1, order + 1):
-            self._add_order(k, raw)
-
-    def _add_order(self, k: int, raw: dict) -> None:
-        found = {}
-        for lang, (codes, counts) in raw.items():
-            if k < self.order:  # in how many contexts: the distinct (k + 1)-grams that end in it
-                longer = np.unique(codes[:, -k - 1:], axis=0)
-                grams, counts = np.unique(longer[:, 1:], axis=0, return_counts=True)
-            else:
-                grams = codes
-            found[lang] = (grams, np.asarray(counts, np.float64))
+            self._add_order(k, counts[k], discounts)
+
+    def _add_order(self, k: int, found: dict, discounts: dict) -> None:
         union = np.unique(np.concatenate([g for g, _ in found.values()]), axis=0) if found else np.zeros((0, k), np.uint32)
         key = hash_rows(union)
         by = np.argsort(key)
@@ -138,16 +165,16 @@ class KneserNey:
         lower = np.exp(self._lookup(k - 1, hash_rows(union[:, 1:]))) if k > 1 else np.full((len(union), len(self.languages)), np.exp(self.floor))
         probability, share = np.empty((len(union), len(self.languages))), np.ones((len(heads), len(self.languages)))
         for c, lang in enumerate(self.languages):
-            grams, counts = found[lang]
             n = np.zeros(len(union))
-            n[np.searchsorted(key, hash_rows(grams))] = counts
-            once, twice = (counts == 1).sum(), (counts == 2).sum()
-            discount = once / (once + 2 * twice) if once and once + 2 * twice else 0.5
+            if lang in found:
+                grams, counts = found[lang]
+                n[np.searchsorted(key, hash_rows(grams))] = counts
+            less = discounts[lang, k]
             total = np.bincount(at_head, n, len(heads))
             kinds = np.bincount(at_head, n > 0, len(heads))
             seen = total > 0
-            share[seen, c] = discount * kinds[seen] / total[seen]
-            own = np.maximum(n - discount, 0) / np.maximum(total, 1)[at_head]
+            share[seen, c] = less * kinds[seen] / total[seen]
+            own = np.maximum(n - less, 0) / np.maximum(total, 1)[at_head]
             probability[:, c] = own + share[at_head, c] * lower[:, c]
         self.keys.append(key)
         self.logs.append(np.log(probability).astype(np.float32))
@@ -159,10 +186,10 @@ class KneserNey:
         return self.logs[k - 1][np.searchsorted(self.keys[k - 1], key)].astype(np.float64)
 
     def log_probabilities(self, codes: np.ndarray) -> np.ndarray:
-        """A row for each code point from the ``order``-th on, a column a language."""
+        """A row for each code point from the ``order``-th on, a column a language; 0 where another block scores."""
         n = len(codes) - self.order + 1
-        out = np.empty((n, len(self.languages)), np.float32)
-        todo = np.arange(n)
+        out = np.zeros((n, len(self.languages)), np.float32)
+        todo = np.arange(n) if self.middles is None else np.flatnonzero(self.middles[codes[self.order - 2:-1]])
         extra = np.zeros((n, len(self.languages)), np.float32)
         values = codes.astype(np.uint64)
         for k in range(self.order, 0, -1):
@@ -181,8 +208,8 @@ class KneserNey:
         out[todo] = self.floor + extra[todo]
         return out
 
-    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Cross-entropy a character (nats) of each text in each language, and its number of letters."""
+    def sums(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sum of log probabilities of each text in each language, its characters and its letters."""
         total, length = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
         n_letters = np.zeros(len(texts), np.int64)
         for owner, part in pieces(texts):
@@ -195,6 +222,31 @@ class KneserNey:
             begins = starts[:-1]
             np.add.at(total, owner, sums[np.maximum(stops, begins)] - sums[begins])
             np.add.at(length, owner, np.maximum(stops - begins, 0))
+        return total, length, n_letters
+
+    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Cross-entropy a character (nats) of each text in each language, and its number of letters."""
+        total, length, n_letters = self.sums(texts)
+        return -total / np.maximum(length, 1)[:, None], n_letters
+
+
+class Models:
+    """The models of all languages in broadcast blocks; a worker holds one block at a time."""
+
+    def __init__(self, languages: list[str], parts: list[tuple[int, Broadcast]]):
+        self.languages, self.parts = languages, parts
+        self.text_bytes = TEXT_BYTES if len(parts) > 1 else BLOCK_BYTES
+
+    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``KneserNey.entropies``; there is at least one language."""
+        total = np.zeros((len(texts), len(self.languages)))
+        for first, held in self.parts:
+            model = held.value
+            part, length, n_letters = model.sums(texts)
+            total[:, first:first + part.shape[1]] += part
+            if len(self.parts) > 1:
+                del model
+                held.__dict__.pop("_value", None)  # read from the local file again when it is needed
         return -total / np.maximum(length, 1)[:, None], n_letters
 
 
@@ -218,31 +270,85 @@ def training_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return counted.groupBy("lang", "part", "gram").agg(F.sum("n").alias("n"))
 
 
-def model_of(counts: DataFrame, max_grams: int = MAX_GRAMS, order: int = ORDER) -> KneserNey:
-    """The models from ``lang``, ``gram``, ``n``: at most ``max_grams`` n-grams, the most frequent of each language."""
-    counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    sizes = {r.lang: r.k for r in counts.groupBy("lang").agg(F.count("*").alias("k")).collect()}
-    share = max_grams // max(1, len(sizes))
-    if any(k > share for k in sizes.values()):
-        counts = counts.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("_rank") <= share)
-    rows = counts.select("lang", "gram", "n").toArrow()
-    lang = np.asarray(rows.column("lang").to_pylist(), object)
-    gram, n = rows.column("gram").to_pylist(), rows.column("n").to_numpy()
-    table = {}
-    for one in sizes:
-        at = np.flatnonzero(lang == one)
-        at = at[np.argsort([gram[i] for i in at])] if len(at) else at
-        table[one] = ([gram[i] for i in at], n[at])
-    return KneserNey(table, order)
-
-
-def calibration(docs: DataFrame, model: KneserNey) -> tuple[float, float]:
-    """(sharpness, threshold) from labelled ``docs``: least log loss, then at most MAX_ERROR wrong above the threshold."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+def gram_tables(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """``lang``, ``k``, ``gram``, ``n`` of every order, and ``middle``: the character before the last.
 
+    ``n`` counts occurrences in the highest order and contexts, which are distinct longer n-grams, below.
+    """
+    level = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    out = level.withColumn("k", F.lit(order))
+    for k in range(order - 1, 0, -1):
+        level = level.groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("n"))
+        out = out.unionByName(level.withColumn("k", F.lit(k)))
+    middle = F.when(F.col("k") > 1, F.ascii(F.expr("substring(gram, k - 1, 1)"))).otherwise(-1)
+    return out.select("lang", "k", "gram", "n", middle.alias("middle"))
+
+
+def model_of(counts: DataFrame, order: int = ORDER, block_grams: int = BLOCK_GRAMS, block_cells: int = BLOCK_CELLS, block_languages: int = BLOCK_LANGUAGES) -> Models:
+    """The models from ``lang``, ``gram``, ``n``, with all n-grams.
+
+    A block is as large as the bounds allow; the n-grams of one character before the last, in the
+    languages of a block, stay together.
+    """
+    spark = counts.sparkSession
+    tables = written(gram_tables(counts, order), "orders")
+    stats = tables.groupBy("lang", "k").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")).collect()
+    if not stats:
+        return Models([], [])
+    discounts = {(r.lang, r.k): discount(r.once, r.twice) for r in stats}
+    languages = sorted({r.lang for r in stats})
+    alphabet = tables.where("k = 1").agg(F.count_distinct("gram")).first()[0]
+    team = {lang: i // block_languages for i, lang in enumerate(languages)}
+    tables = tables.join(F.broadcast(spark.createDataFrame(list(team.items()), "lang string, team int")), "lang")
+    sizes: dict[int, list] = {}
+    for r in tables.where("k > 1").groupBy("team", "middle").agg(F.count("*").alias("rows")).collect():
+        sizes.setdefault(r.team, []).append((r.middle, r.rows))
+
+    plan, place = [], []  # (team, its characters before the last) of each block; where a character's n-grams go
+    for g in range(max(team.values()) + 1):
+        members = languages[g * block_languages:(g + 1) * block_languages]
+        limit, held = min(block_grams, block_cells // len(members)), None
+        for middle, rows in sorted(sizes[g]):
+            if held is None or held + rows > limit:
+                plan.append((g, members, []))
+                held = 0
+            held += rows
+            plan[-1][2].append(middle)
+            place.append((g, middle, len(plan) - 1))
+    if len(plan) > 1:
+        where = spark.createDataFrame(place, "team int, middle int, block int")
+        tables = written(tables.join(where, ["team", "middle"], "left").repartitionByRange(F.coalesce("block", F.lit(-1)), "team").sortWithinPartitions("block"), "blocks")
+    else:
+        tables = tables.withColumn("block", F.lit(0))
+
+    parts = []
+    for b, (g, members, own) in enumerate(plan):
+        rows = tables.where((F.col("team") == g) & ((F.col("k") == 1) | (F.col("block") == b))).select("lang", "k", "gram", "n").toArrow()
+        found: dict[int, dict] = {k: {} for k in range(1, order + 1)}
+        for k in found:
+            of_order = rows.filter(pc.equal(rows.column("k"), k))
+            for lang in members:
+                some = of_order.filter(pc.equal(of_order.column("lang"), lang))
+                if some.num_rows:
+                    found[k][lang] = (code_points(some.column("gram").to_pylist(), k), some.column("n").to_numpy().astype(np.float64))
+        middles = None
+        if sum(x[0] == g for x in plan) > 1:  # the first block of a team also has the characters that no model knows
+            first = b == min(i for i, x in enumerate(plan) if x[0] == g)
+            middles = np.full(0x110000, first)
+            middles[[m for i, x in enumerate(plan) if x[0] == g and i != b for m in x[2]]] = False
+            middles[own] = True
+        model = KneserNey.block(members, found, discounts, alphabet, order, middles)
+        parts.append((g * block_languages, spark.sparkContext.broadcast(model)))
+    return Models(languages, parts)
+
+
+def calibration(docs: DataFrame, model: Models) -> tuple[float, float]:
+    """(sharpness, threshold) from labelled ``docs``: least log loss, then at most MAX_ERROR wrong above the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, total = held.value, {}
-        for block in blocks(batches, "text"):
+        total = {}
+        for block in blocks(batches, "text", model.text_bytes):
+            if not model.languages:
+                continue
             entropies, n_letters = model.entropies(block.column("text").to_pylist())
             truth = np.array([model.languages.index(x) if x in model.languages else -1 for x in block.column("lang").to_pylist()])
             use = (truth >= 0) & (n_letters > 0)
@@ -267,7 +373,7 @@ def calibration(docs: DataFrame, model: KneserNey) -> tuple[float, float]:
     return sharp, min(safe, default=max(THRESHOLDS))
 
 
-def language_ids(docs: DataFrame, training: DataFrame, max_grams: int = MAX_GRAMS) -> DataFrame:
+def language_ids(docs: DataFrame, training: DataFrame) -> DataFrame:
     """The language of every whole text.
 
     ``docs`` needs ``doc_id`` and ``text``; ``training`` has ``lang`` (not null), ``part`` (0 fits and
@@ -277,12 +383,11 @@ def language_ids(docs: DataFrame, training: DataFrame, max_grams: int = MAX_GRAM
     Ties go to the first language in code point order. Repeated rows stay.
     """
     counts = written(training_counts(training.where("lang is not null and text is not null")), "grams")
-    sharp, threshold = calibration(training.where("part = 1 and lang is not null and text is not null"), model_of(counts.where("part = 0"), max_grams))
-    held = docs.sparkSession.sparkContext.broadcast(model_of(counts, max_grams))
+    sharp, threshold = calibration(training.where("part = 1 and lang is not null and text is not null"), model_of(counts.where("part = 0")))
+    model = model_of(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", model.text_bytes):
             names, score = np.full(block.num_rows, UNKNOWN, object), np.zeros(block.num_rows)
             if model.languages:
                 entropies, n_letters = model.entropies(block.column("text").to_pylist())

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from tallyframe.llm.langid import KneserNey, characters, gram_counts, language_ids, op2_language_id, pieces
+from tallyframe.llm.langid import KneserNey, characters, gram_counts, language_ids, model_of, op2_language_id, pieces
 
 
 def normal(text, order=4):
@@ -82,6 +82,29 @@ def test_cases(spark):
     assert language_ids(docs.limit(0), training).count() == 0
 
 
+def test_blocks_give_the_whole_model(spark):
+    table = {l: (lambda g: (g[0], np.array(g[1])))(gram_counts(t)) for l, t in TEXTS.items()}
+    rows = [(l, g, int(n)) for l, (grams, counts) in table.items() for g, n in zip(grams, counts)]
+    samples = ["the cat", "été", "zzz là q", "Où? a", "A", "", None, "ж жж the"]
+    want = KneserNey(table).entropies(samples)
+    for limits in ({}, {"block_grams": 20}, {"block_grams": 1, "block_languages": 1}):
+        got = model_of(spark.createDataFrame(rows, "lang string, gram string, n long"), **limits).entropies(samples)
+        assert np.allclose(got[0], want[0], atol=1e-4) and list(got[1]) == list(want[1])
+
+
+def test_many_languages_keep_their_rare_grams(spark):
+    """200 languages of 5,500 4-grams each."""
+    letter = lambda d: f"char(97 + int(code / {26 ** d}) % 26)"
+    made = spark.range(200 * 5500).selectExpr("concat('l', id % 200) AS lang", "int(id / 200) AS x", "(int(id / 200) * 31 + (id % 200) * 977) % 456976 AS code")
+    counts = made.selectExpr("lang", f"concat({', '.join(map(letter, range(3, -1, -1)))}) AS gram", "1L + x % 3 AS n")
+    model, samples = model_of(counts), ["the cat sat", "qqqq zebra", "été"]
+    got, _ = model.entropies(samples)
+    for lang in ("l0", "l137"):
+        rows = counts.where(f"lang = '{lang}'").collect()
+        want, _ = KneserNey({lang: ([r.gram for r in rows], np.array([r.n for r in rows]))}).entropies(samples)
+        assert np.allclose(got[:, model.languages.index(lang)], want[:, 0], atol=1e-4)
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang").collect()}
