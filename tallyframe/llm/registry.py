@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import chat, decontaminate, langid, mixing, pii, quality, simhash, substrings, tokens, warc
+from . import chat, decontaminate, langid, mixing, pii, quality, simhash, substrings, tokens, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = [decontaminate.op1_benchmark_decontamination, langid.op2_language_id, tokens.op3_token_counts, chat.op4_chat_formatting, mixing.op5_source_mixing, pii.op6_personal_data, quality.op7_quality_rules, warc.op8_warc_fixity, simhash.op9_simhash_near_dedup, substrings.op10_substring_dedup]
+    found = [decontaminate.op1_benchmark_decontamination, langid.op2_language_id, tokens.op3_token_counts, chat.op4_chat_formatting, mixing.op5_source_mixing, pii.op6_personal_data, quality.op7_quality_rules, warc.op8_warc_fixity, simhash.op9_simhash_near_dedup, substrings.op10_substring_dedup, whitening.op11_embedding_whitening]
     return {q.__name__: q for q in found} | {"pipeline": corpus_pipeline.run}
 
 
