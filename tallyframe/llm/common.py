@@ -54,3 +54,11 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BY
         if start < batch.num_rows:
             yield batch.slice(start)
 
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, or with underscores behind it, so that no column is called so; Spark ignores case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
