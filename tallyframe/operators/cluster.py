@@ -33,11 +33,14 @@ def _centre_literal(centre: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in centre])
 
 
+def _nearest_centre(features: Column, centres: Sequence[Sequence[float]]) -> Column:
+    """Squared distance ``d`` and number ``c`` of the nearest centre."""
+    return F.array_min(F.array(*[F.struct(squared_distance(features, _centre_literal(c)).alias("d"), F.lit(i).alias("c")) for i, c in enumerate(centres)]))
+
+
 def assign_nearest(df: DataFrame, centres: Sequence[Sequence[float]], features: str = "features", cluster: str = "cluster") -> DataFrame:
     """Index of the nearest centre (the first on ties) and the distance to it."""
-    candidates = [F.struct(squared_distance(F.col(features), _centre_literal(c)).alias("d"), F.lit(i).alias("c")) for i, c in enumerate(centres)]
-    best = F.array_min(F.array(*candidates))
-    placed = df.withColumn("nearest", best)
+    placed = df.withColumn("nearest", _nearest_centre(F.col(features), centres))
     return placed.withColumns({cluster: F.col("nearest.c"), "distance_to_centroid": F.sqrt("nearest.d")}).drop("nearest")
 
 
@@ -147,20 +150,26 @@ def predict(model, df: DataFrame, features: str = "features", cluster: str = "cl
 
 
 def kmeans_sweep(df: DataFrame, key: str, k_values: Sequence[int] = K_RANGE, features: str = "features",
-                 seeds: Sequence[int] = (42, 43), max_iter: int = 100):
-    """Fit every K on all rows; the table of measures and the fitted models by K."""
-    rows, models = [], {}
-    df = held_for_training(df.select(key, features))
-    for k in k_values:
-        model = fit_kmeans(df, k, features, seeds, max_iter)
-        labelled = predict(model, df, features)
-        models[k] = model
-        rows.append((
-            k, float(model.summary.trainingCost), silhouette(labelled, key, features=features).first()[0],
-            calinski_harabasz(labelled, features=features).first()[0], davies_bouldin(labelled, features=features).first()[0],
-        ))
-    table = df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, calinski_harabasz double, davies_bouldin double")
-    return table, models
+                 seeds: Sequence[int] = (42, 43), max_iter: int = 100, error: float | None = None):
+    """Fit every K with every seed on all rows in shared passes; the table of measures of the best fit of each K, and those fits by K.
+
+    Silhouettes use plain distances; ``error`` bounds how far mean distances may be off (see ``silhouette``).
+    """
+    from .kmeans_sweep import fit_all, measure_all
+    from .silhouette import ERROR, silhouettes
+
+    rows = held_for_training(df.select(F.col(key).alias("id"), F.xxhash64(key).alias("hash"), F.col(features).cast("array<double>").alias("features")))
+    best = {}
+    for model in fit_all(rows, [(k, s) for k in k_values for s in seeds], max_iter):
+        if model.k not in best or model.cost < best[model.k].cost:
+            best[model.k] = model
+    models = [best[k] for k in k_values]
+    measure_all(rows, models)
+    placed = rows.select("id", "features", F.inline(F.array(*[
+        F.struct(F.lit(m.k).alias("part"), _nearest_centre(F.col("features"), m.centres)["c"].cast("long").alias("cluster")) for m in models])))
+    scores = {r["part"]: r["silhouette"] for r in silhouettes(placed, ERROR if error is None else error).groupBy("part").agg(F.avg("silhouette").alias("silhouette")).collect()}
+    table = [(m.k, float(m.cost), scores.get(m.k), m.figures["calinski_harabasz"], m.figures["davies_bouldin"]) for m in models]
+    return df.sparkSession.createDataFrame(table, "k int, inertia double, silhouette double, calinski_harabasz double, davies_bouldin double"), best
 
 
 def elbow(table: DataFrame, normalize: bool = False) -> DataFrame:

@@ -94,6 +94,51 @@ def session_density(bars: DataFrame, min_samples: int = 12, eps_quantile: float
     return dn.dbscan(placed, eps, min_samples, "id"), eps
 
 
+# Neighbours of a core point, quantiles of the k-distances that are tried as radii.
+SEARCH_MIN_SAMPLES = 20
+EPS_QUANTILES = (0.40, 0.50, 0.60, 0.65, 0.70, 0.75, 0.80, 0.85, 0.90, 0.95, 0.98)
+
+
+@dataclass
+class DensityChoice:
+    """The radii tried with their scores, the row of the chosen one, and its labels."""
+
+    search: DataFrame
+    chosen: DataFrame
+    labels: DataFrame
+
+
+def density_choice(df: DataFrame, key: str = "id", min_samples: int = SEARCH_MIN_SAMPLES, quantiles: Sequence[float] = EPS_QUANTILES) -> DensityChoice:
+    """Radii from the quantiles of the k-distances of all rows, clusters of each, the best radius and its labels."""
+    from ..operators.ordering import fitted_quantiles
+
+    rows = checkpointed(df.select(key, "features"))
+    near = checkpointed(dn.kth_distances(rows, rows, min_samples, key))
+    radii = sorted(set(fitted_quantiles(near, ["kth_distance"], quantiles)["kth_distance"]))
+    search, labels = dn.eps_search(rows, radii, min_samples, key)
+    chosen = checkpointed(cl.choose_eps(search))
+    return DensityChoice(cl.eps_objective(search), chosen, labels[chosen.first()["eps"]])
+
+
+@dataclass
+class CentroidChoice:
+    """Measures of every K, the chosen one, its labels and their profile."""
+
+    search: DataFrame
+    chosen: DataFrame
+    labels: DataFrame
+    profile: DataFrame
+
+
+def centroid_choice(df: DataFrame, key: str = "id", k_values: Sequence[int] = cl.K_RANGE, max_iter: int = 500) -> CentroidChoice:
+    """K by the elbow of the sweep and the silhouettes next to it; labels of all rows and the size and spread of each cluster."""
+    search, models = cl.kmeans_sweep(df, key, k_values, max_iter=max_iter)
+    chosen = checkpointed(cl.choose_k_near_elbow(search))
+    labels = checkpointed(cl.assign_nearest(df.select(key, "features"), cl.centres_of(models[chosen.first()["selected_k"]])))
+    profile = labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"), F.avg("distance_to_centroid").alias("mean_distance"), F.max("distance_to_centroid").alias("max_distance"))
+    return CentroidChoice(search, chosen, labels, profile)
+
+
 @dataclass
 class FeatureSpace:
     rows: DataFrame

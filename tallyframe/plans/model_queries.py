@@ -10,6 +10,7 @@ from ..operators import metrics as mt
 from ..operators import modeling as md
 from ..operators import panel as pn
 from ..operators import reduce as rd
+from ..operators import silhouette as si
 from ..operators import splits as sp
 from ..sources.tables import read_table
 from . import flows
@@ -274,6 +275,19 @@ def _(spark, folder):
     return cl.silhouette_points(fr.vectors(spark, folder), "id", "label")
 
 
+EUCLIDEAN = SILHOUETTE.replace("sum(power(list_distance(a.features, b.features), 2))", "sum(list_distance(a.features, b.features))")
+
+
+@query("g3_silhouette_euclidean", EUCLIDEAN + "SELECT avg(silhouette) AS silhouette FROM p", "silhouette", digits=9)
+def _(spark, folder):
+    return si.euclidean_silhouette(fr.vectors(spark, folder), "id", "label", error=0)
+
+
+@query("g3_silhouette_euclidean_points", EUCLIDEAN + "SELECT id AS key, cluster, silhouette FROM p", "silhouette")
+def _(spark, folder):
+    return si.euclidean_silhouette_points(fr.vectors(spark, folder), "id", "label", error=0)
+
+
 @query("g4_calinski_harabasz", VEC + CENTRES + """, whole AS (SELECT list(m ORDER BY i) AS g FROM (SELECT i, avg(features[i]) AS m FROM ve, (SELECT unnest(range(1, 65)) AS i) GROUP BY 1)),
 b AS (SELECT sum(n * power(list_distance(centroid, g), 2)) AS between FROM (SELECT label, any_value(centroid) AS centroid, count(*) AS n FROM own GROUP BY 1), whole)
 SELECT (between / (count(DISTINCT label) - 1)) / (sum(away * away) / (count(*) - count(DISTINCT label))) AS calinski_harabasz FROM own, b GROUP BY between""", "calinski_harabasz")
@@ -398,6 +412,89 @@ def _(spark, folder):
     return dn.nearest_within(asked, points.join(labels, "id"), EPS).select("id", "cluster")
 
 
+NEAR_SAMPLES, NEAR_EPS = 5, 1.15
+PAIRS = VEC + ", d AS (SELECT a.id, b.id AS other, list_distance(a.features, b.features) AS x FROM ve a, ve b)"
+
+
+def _density_sql(radii: str) -> str:
+    """Labels at every radius of the table ``radii`` (``eps``), after ``PAIRS``: a recursion walks from core to core."""
+    return PAIRS.replace("WITH", "WITH RECURSIVE", 1) + f"""{radii}, near AS (SELECT eps, id, other FROM d, radii WHERE x <= eps), deg AS (SELECT eps, id, count(*) AS neighbours FROM near GROUP BY 1, 2),
+core AS (SELECT eps, id FROM deg WHERE neighbours >= {NEAR_SAMPLES}), link AS (SELECT n.eps, n.id, n.other FROM near n SEMI JOIN core a ON n.eps = a.eps AND n.id = a.id SEMI JOIN core b ON n.eps = b.eps AND n.other = b.id),
+reach AS (SELECT eps, id, id AS root FROM core UNION SELECT r.eps, l.other, r.root FROM reach r JOIN link l ON l.eps = r.eps AND l.id = r.id),
+comp AS (SELECT eps, id, min(root) AS cluster FROM reach GROUP BY 1, 2),
+border AS (SELECT n.eps, n.id, min(c.cluster) AS cluster FROM near n JOIN comp c ON n.eps = c.eps AND n.other = c.id GROUP BY 1, 2),
+lab AS (SELECT eps, g.id, coalesce(c.cluster, b.cluster, -1) AS cluster, g.neighbours >= {NEAR_SAMPLES} AS is_core FROM deg g LEFT JOIN comp c USING (eps, id) LEFT JOIN border b USING (eps, id))"""
+
+
+ONE_RADIUS = f", radii AS (SELECT {NEAR_EPS}::DOUBLE AS eps)"
+
+
+@query("g10_dbscan_embeddings", _density_sql(ONE_RADIUS) + " SELECT id, cluster, is_core FROM lab")
+def _(spark, folder):
+    """Density clusters in 64 dimensions, where no grid reaches."""
+    return dn.dbscan(fr.vectors(spark, folder).drop("label"), NEAR_EPS, NEAR_SAMPLES)
+
+
+@query("g12_out_of_sample_density_embeddings", _density_sql(ONE_RADIUS) + """, q AS (SELECT vec_id AS id, list_transform(CAST(embedding AS DOUBLE[]), lambda c: c * 0.9) AS f FROM embeddings),
+h AS (SELECT q.id, lab.cluster, list_distance(q.f, ve.features) AS distance FROM q JOIN ve ON list_distance(q.f, ve.features) <= 1.15 JOIN lab ON lab.id = ve.id AND lab.is_core
+  QUALIFY row_number() OVER (PARTITION BY q.id ORDER BY distance, ve.id) = 1)
+SELECT q.id, coalesce(cluster, -1) AS cluster, distance FROM q LEFT JOIN h USING (id)""", "distance")
+def _(spark, folder):
+    """Rows that were not clustered (all vectors, drawn in by a tenth) take the cluster of their nearest core row."""
+    rows = fr.vectors(spark, folder).drop("label")
+    core = rows.join(dn.dbscan(rows, NEAR_EPS, NEAR_SAMPLES).where("is_core"), "id")
+    asked = rows.select("id", F.transform("features", lambda c: c * 0.9).alias("features"))
+    return dn.nearest_within(asked, core, NEAR_EPS)
+
+
+SEARCH_QUANTILES = (0.02, 0.15, 0.3, 0.5, 0.7)
+SEARCHED = _density_sql(f""", k AS (SELECT id, x FROM d QUALIFY row_number() OVER (PARTITION BY id ORDER BY x) = {NEAR_SAMPLES}),
+radii AS (SELECT DISTINCT unnest(quantile_cont(x, {list(SEARCH_QUANTILES)})) AS eps FROM k)""") + """, kept AS (SELECT eps, id, cluster AS mine FROM lab WHERE cluster <> -1),
+apart AS (SELECT a.eps, a.id, a.mine, b.mine AS other, sum(x) AS s, count(*) AS n FROM kept a JOIN d ON d.id = a.id JOIN kept b ON b.eps = a.eps AND b.id = d.other GROUP BY 1, 2, 3, 4),
+inner_side AS (SELECT eps, id, s / greatest(n - 1, 1) AS a, n FROM apart WHERE mine = other), outer_side AS (SELECT eps, id, min(s / n) AS b FROM apart WHERE mine <> other GROUP BY 1, 2),
+scores AS (SELECT eps, avg(CASE WHEN n = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) AS silhouette FROM inner_side JOIN outer_side USING (eps, id) GROUP BY 1),
+searched AS (SELECT eps, 5::BIGINT AS min_samples, count(DISTINCT cluster) FILTER (WHERE cluster <> -1) AS cluster_count, count(*) FILTER (WHERE cluster = -1) AS noise_count,
+  100.0 * count(*) FILTER (WHERE cluster = -1) / count(*) AS noise_percent, any_value(s.silhouette) AS silhouette FROM lab LEFT JOIN scores s USING (eps) GROUP BY 1),
+v AS (SELECT *, cluster_count BETWEEN 2 AND 20 AND noise_percent BETWEEN 1 AND 40 AND silhouette IS NOT NULL AS valid FROM searched),
+o AS (SELECT *, CASE WHEN valid THEN silhouette - 0.004 * abs(noise_percent - 10) - 0.005 * greatest(cluster_count - 10, 0) ELSE -999 END::DOUBLE AS objective FROM v),
+best AS (SELECT *, CASE WHEN valid THEN 0 WHEN cluster_count >= 2 AND silhouette IS NOT NULL THEN 1 ELSE 2 END AS tier FROM o
+  ORDER BY tier, CASE tier WHEN 0 THEN -objective WHEN 1 THEN -silhouette ELSE abs(noise_percent - 10) END, CASE tier WHEN 0 THEN -silhouette WHEN 1 THEN noise_percent ELSE 0 END, eps LIMIT 1) """
+FOUND = "eps noise_percent silhouette objective"
+
+
+def _choice(spark, folder):
+    """k-distances, candidate radii, search and choice over all embeddings."""
+    return flows.density_choice(fr.vectors(spark, folder), "id", NEAR_SAMPLES, SEARCH_QUANTILES)
+
+
+@query("flow_eps_search", SEARCHED + "SELECT * FROM o", FOUND)
+def _(spark, folder):
+    return _choice(spark, folder).search
+
+
+@query("flow_eps_choice", SEARCHED + "SELECT * EXCLUDE (tier, objective, valid), valid, objective FROM best", FOUND)
+def _(spark, folder):
+    return _choice(spark, folder).chosen
+
+
+@query("flow_eps_labels", SEARCHED + "SELECT id, cluster, is_core FROM lab JOIN best USING (eps)")
+def _(spark, folder):
+    return _choice(spark, folder).labels
+
+
+@query("flow_k_search")
+def _(spark, folder):
+    """The measures of every K and what the elbow rule makes of them."""
+    found = flows.centroid_choice(fr.vectors(spark, folder))
+    return found.search.join(F.broadcast(found.chosen), F.col("k") == F.col("selected_k"), "left").select("k", "inertia", "silhouette", "calinski_harabasz", "davies_bouldin", "elbow_k", "selected_k")
+
+
+@query("flow_k_choice")
+def _(spark, folder):
+    """Size and spread of the clusters at the chosen K."""
+    return flows.centroid_choice(fr.vectors(spark, folder)).profile
+
+
 @query("k4_noise_examples", f"""WITH lab AS ({DBSCAN}), pt AS (SELECT c_custkey AS id, [c_acctbal / 1000, c_nationkey::DOUBLE] AS f FROM customer),
 k AS (SELECT a.id, list_distance(a.f, b.f) AS x FROM pt a, pt b QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY x) = {MIN_SAMPLES})
 SELECT id, x AS kth_distance FROM k JOIN lab USING (id) WHERE cluster = -1 ORDER BY x DESC, id LIMIT 200""", "kth_distance")
