@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -55,6 +56,17 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BY
             yield batch.slice(start)
 
 
+def give_back() -> None:
+    """Return memory that this worker has freed to the system, where the C library can.
+
+    For the end of a task whose worker may idle beside tasks of another kind.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 
 def unused(columns: list[str], name: str) -> str:
     """``name``, or with underscores behind it, so that no column is called so; Spark ignores case."""

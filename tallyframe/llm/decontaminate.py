@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blocks, read_table
-from .wordblocks import NOT_ALNUM, WordBlock, mixed, run_hashes
+from .common import blocks, give_back, read_table
+from .wordblocks import NOT_ALNUM, WordBlock, forget_powers, mixed, run_hashes
 
 SIMILARITY = 0.8
 SEED_WORDS = 3
@@ -254,6 +254,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, similarity: float = S
             for block in blocks(batches, "text"):
                 bad = {r[0] for r in held.value.matches(WordBlock(lower(block.column("text")), NOT_ALNUM))}
                 yield block.take(pa.array([i for i in range(block.num_rows) if i not in bad], pa.int64()))
+            forget_powers()
+            give_back()
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

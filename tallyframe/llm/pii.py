@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, written
+from .common import read_table, unused, written
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -235,22 +235,24 @@ def personal_data(docs: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with each span in ``text`` replaced by its kind in brackets; texts without spans, and nulls, as they are.
 
-    Overlapping spans become one placeholder, that of the first. Texts are read twice and not written.
+    Overlapping spans become one placeholder, that of the first. Columns may have any names. The rows
+    and their candidates are written once, so that texts are searched once.
     """
-    found = with_candidates(docs, "_candidates")
-    model = train(vote_counts(with_candidates(docs.select("text"), "_candidates"), "_candidates"))
+    column = unused(docs.columns, "candidates")
+    found = written(with_candidates(docs, column), "candidates")
+    model = train(vote_counts(found, column))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     def cleaned(wide: Column) -> Column:
         def cut(low: Column, high: Column) -> Column:
             return F.decode(F.substring(wide, low * 4 + 1, (high - low) * 4), "UTF-32")
-        spans = F.sort_array(F.transform(F.filter("_candidates", model.accepts), lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"))))
+        spans = F.sort_array(F.transform(F.filter(column, model.accepts), lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"))))
         none = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("at"))
         def add(a: Column, s: Column) -> Column:
             more = F.concat(a["parts"], F.array(cut(a["at"], s["start"]), names[s["kind"]]))
             return F.struct(F.when(s["start"] >= a["at"], more).otherwise(a["parts"]).alias("parts"), F.greatest(a["at"], s["end"]).alias("at"))
         end = F.length(F.col("text"))
         return F.aggregate(spans, none, add, lambda a: F.array_join(F.concat(a["parts"], F.array(cut(a["at"], end))), ""))
-    text = F.when(F.exists("_candidates", model.accepts), F.transform(F.array(F.encode("text", "UTF-32")), cleaned)[0]).otherwise(F.col("text"))
+    text = F.when(F.exists(column, model.accepts), F.transform(F.array(F.encode("text", "UTF-32")), cleaned)[0]).otherwise(F.col("text"))
     return found.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

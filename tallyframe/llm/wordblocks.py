@@ -27,6 +27,11 @@ def powers(base: np.uint64, size: int) -> np.ndarray:
     return _POWERS[int(base)][:size]
 
 
+def forget_powers() -> None:
+    """Drop the rows of powers this worker keeps."""
+    _POWERS.clear()
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spread every input bit over the whole 64-bit value."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
