@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import broadcast_if_small, rows_that_fit
+
+
 def key_digest(key: Sequence[str], seed: int) -> Column:
     """Hex digest of the row key and the seed, the same in any engine that has MD5."""
     return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key], F.lit(str(seed))))
@@ -28,6 +31,31 @@ def stratified_split(df: DataFrame, label: str, key: Sequence[str], test_share:
     return hash_split(df, [label, *key], test_share, seed)
 
 
+SPLIT_BITS = 12
+
+
+def exact_stratified_split(df: DataFrame, label: str, key: Sequence[str], test_share: float = 0.2, seed: int = 42) -> DataFrame:
+    """``split`` with exactly round(share * rows) test rows in every class: those with its smallest key digests.
+
+    Counts by the first bits of the digest show in which 4,096th of a class the last test row lies;
+    only those rows are ranked. Rows with equal keys stay on one side, so repeated keys at the edge may
+    add to the test side. A null class is a class.
+    """
+    digest = key_digest([label, *key], seed)
+    bucket = F.shiftright(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), 32 - SPLIT_BITS)
+    placed = df.select(F.col(label).alias("label"), digest.alias("digest"), bucket.alias("bucket"))
+    ahead = Window.partitionBy("label").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("label", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumns({"before": F.coalesce(F.sum("n").over(ahead), F.lit(0)), "quota": F.floor(F.sum("n").over(Window.partitionBy("label")) * test_share + 0.5)})
+    cuts = counts.where((F.col("before") < F.col("quota")) & (F.col("before") + F.col("n") >= F.col("quota")))
+    cuts = cuts.select(F.col("label").alias("at"), F.col("bucket").alias("cut"), (F.col("quota") - F.col("before")).alias("rest"))  # a row a class
+    edge = placed.join(broadcast_if_small(cuts, rows_that_fit(4)), F.col("label").eqNullSafe(F.col("at")) & (F.col("bucket") == F.col("cut")))
+    ranked = edge.withColumn("place", F.row_number().over(Window.partitionBy("label").orderBy("digest"))).where(F.col("place") == F.col("rest"))
+    last = ranked.select(F.col("label").alias("_class"), F.col("digest").alias("_last"))
+    joined = df.join(broadcast_if_small(last, rows_that_fit(4)), F.col(label).eqNullSafe(F.col("_class")), "left")
+    return joined.withColumn("split", F.when(digest <= F.col("_last"), "test").otherwise("train")).drop("_class", "_last")
+
+
 def time_split(df: DataFrame, cutoff: str, target_date: str = "target_date") -> DataFrame:
     """Train before the cutoff, test from it on; an empty side is an error."""
     limit = F.lit(cutoff).cast("date")

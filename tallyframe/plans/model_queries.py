@@ -12,6 +12,7 @@ from ..operators import panel as pn
 from ..operators import reduce as rd
 from ..operators import silhouette as si
 from ..operators import splits as sp
+from ..operators.entity_ols import expanding_ols, fit_fold_ols
 from ..sources.tables import read_table
 from . import flows
 from . import frames as fr
@@ -240,6 +241,37 @@ def _(spark, folder):
     return flows.best_model_series(metrics, ready, "7")
 
 
+FOLD_MODELS = f"""WITH {TARGETED}, ready AS (SELECT * FROM targeted WHERE target_close_next IS NOT NULL AND target_date < DATE '{fr.CUTOFF}'),
+days AS (SELECT target_date, row_number() OVER (ORDER BY target_date) - 1 AS pos, count(*) OVER () AS n FROM (SELECT DISTINCT target_date FROM ready)),
+r AS (SELECT "Name", close, volume, target_close_next AS t, CASE WHEN pos < n - 5 * (n // 6) THEN 0 ELSE (pos - (n - 5 * (n // 6))) // (n // 6) + 1 END AS f FROM ready JOIN days USING (target_date)),
+seen AS (SELECT g.f AS fold, r.* FROM r JOIN (SELECT DISTINCT f FROM r WHERE f > 0) g ON r.f < g.f),
+d AS (SELECT fold, close - avg(close) OVER w AS a, volume - avg(volume) OVER w AS b, t - avg(t) OVER w AS y FROM seen WINDOW w AS (PARTITION BY fold, "Name")),
+m AS (SELECT fold, sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb, sum(a * y) AS ay, sum(b * y) AS yb FROM d GROUP BY 1),
+s AS (SELECT fold, (ay * bb - yb * ab) / (aa * bb - ab * ab) AS close_slope, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS volume_slope FROM m),
+e AS (SELECT fold, "Name", count(*) AS n, avg(t) - any_value(close_slope) * avg(close) - any_value(volume_slope) * avg(volume) AS effect FROM seen JOIN s USING (fold) GROUP BY 1, 2)"""
+
+
+def _folded(spark, folder):
+    """Training rows with the folds of the model-ready rows."""
+    return _ready(spark, folder).where("split = 'train'")
+
+
+@query("m6_fold_effects", FOLD_MODELS + """ SELECT fold AS cv_fold, "Name", n, effect, close_slope, volume_slope FROM e JOIN s USING (fold)""", "effect close_slope volume_slope")
+def _(spark, folder):
+    """Slopes and entity effects of every fold's model from one scan."""
+    model = fit_fold_ols(_folded(spark, folder), ["close", "volume"], "Name", "target_close_next")
+    return model.effects.join(F.broadcast(model.table()), "cv_fold").select("cv_fold", "Name", "n", "effect", F.col("slopes")[0].alias("close_slope"), F.col("slopes")[1].alias("volume_slope"))
+
+
+@query("m6_expanding_least_squares", FOLD_MODELS + f""", u AS (SELECT fold, sum(n * effect) / sum(n) AS unseen FROM e GROUP BY 1),
+scored AS (SELECT r.f AS cv_fold, t AS a, close, coalesce(effect, unseen) + close_slope * close + volume_slope * volume AS fitted FROM r JOIN s ON s.fold = r.f JOIN u ON u.fold = r.f LEFT JOIN e ON e.fold = r.f AND e."Name" = r."Name"),
+long AS (SELECT cv_fold, 'naive' AS model, a, close AS p FROM scored UNION ALL SELECT cv_fold, 'linear_regression', a, fitted FROM scored)
+SELECT cv_fold, model, {ERRORS} FROM long GROUP BY 1, 2""", "mae rmse r2 mape_percent")
+def _(spark, folder):
+    """Errors of least squares and persistence on every fold."""
+    return expanding_ols(_folded(spark, folder), ["close", "volume"], "Name", "target_close_next", "close")
+
+
 # Reduction and clustering -----------------------------------------------------------------------
 
 VEC = f"WITH {fr.VECTORS}"

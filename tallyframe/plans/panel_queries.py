@@ -323,6 +323,12 @@ def _(spark, folder):
     return sp.stratified_split(fr.orders(spark, folder), "y", ["o_orderkey"]).groupBy("y", "split").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query("x1_exact_stratified_split", f"""WITH {fr.ORDERS}, r AS (SELECT o_orderkey, y, row_number() OVER (PARTITION BY y ORDER BY md5(y || '|' || o_orderkey || '|42')) AS place, count(*) OVER (PARTITION BY y) AS n FROM od)
+SELECT o_orderkey, y, CASE WHEN place <= floor(n * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split FROM r""")
+def _(spark, folder):
+    return sp.exact_stratified_split(fr.orders(spark, folder), "y", ["o_orderkey"]).select("o_orderkey", "y", "split")
+
+
 @query("x2_random_split", f"""WITH {fr.ORDERS} SELECT CASE WHEN {SHARE.format(key="o_orderkey")} < 0.2 THEN 'test' ELSE 'train' END AS split, count(*) AS rows FROM od GROUP BY 1""")
 def _(spark, folder):
     return sp.hash_split(fr.orders(spark, folder), ["o_orderkey"]).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
