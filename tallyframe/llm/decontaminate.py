@@ -12,8 +12,11 @@
 4. Verification. The smallest edit distance between the item and any run of words around the start,
    over the words themselves, decides.
 
-Words are letters and digits, lower case, so upper-cased or decorated copies match too. The benchmark
-travels to the tasks in blocks of a bounded number of words; documents are never shuffled.
+Words are letters and digits of any script, lower case, so upper-cased or decorated copies match too; in
+scripts without spaces every sign is a word. How many steps a table compares and how many tables there are is
+set per length class when the index is built: edited copies of its items are made at the edit limit,
+and the cheapest setting that finds the target share of them is taken. The benchmark travels to the
+tasks in blocks of a bounded number of words; documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -33,7 +36,11 @@ from .wordblocks import NOT_ALNUM, WordBlock, forget_powers, mixed, run_hashes
 
 SIMILARITY = 0.8
 SEED_WORDS = 3
-REPEATS, TABLES, SAMPLES = 4, 8, 4
+REPEATS = 4  # random walks
+SETTINGS = ((4, 8), (3, 8), (2, 8), (2, 16), (1, 8), (1, 16), (1, 32))  # steps a table compares and tables a walk, cheapest first
+MOST_TABLES = 64
+TARGET_RECALL = 0.98
+TRIALS = 200  # edited copies a length class, made when the index is built
 CLASS_RATIO = 1.15
 WALK = 1.6  # steps a word; a walk needs two steps a word on average, so most samples are inside
 BLOCK_WORDS = 1_000_000
@@ -42,7 +49,16 @@ BLOOM = 1 << 20
 
 
 def lower(texts: pa.Array) -> pa.Array:
-    return pc.utf8_lower(texts.cast(pa.large_string()))
+    """Lower case; outside ASCII, signs that are no letters or digits become spaces and ideographs words."""
+    low = pc.utf8_lower(texts.cast(pa.large_string()))
+    other = pc.fill_null(pc.invert(pc.string_is_ascii(low)), False)
+    if not pc.any(other).as_py():
+        return low
+    plain = pc.replace_substring_regex(low.filter(other), r"[^\pL\pN\pM]+", " ")
+    return pc.replace_with_mask(low, other, pc.replace_substring_regex(plain, f"([{SPACELESS}])", r" \1 "))
+
+
+SPACELESS = "".join(rf"\p{{{name}}}" for name in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
 
 
 def allowed_edits(m: int, similarity: float = SIMILARITY) -> int:
@@ -52,29 +68,39 @@ def allowed_edits(m: int, similarity: float = SIMILARITY) -> int:
 
 
 def nearest_run(item: list, words: list) -> tuple[int, int, int]:
-    """(edits, begin, end): the run of ``words`` nearest to ``item`` in edits; earliest end on ties."""
-    cost = list(range(len(item) + 1))
-    origin = [0] * (len(item) + 1)
-    best = (cost[-1], 0, 0)
+    """(edits, begin, end): the run of ``words`` nearest to ``item`` in edits; earliest end, then earliest begin on ties.
+
+    A cell of the table holds edits and where the run began in one number, so that the least of both is kept.
+    """
+    codes = {w: n for n, w in enumerate(dict.fromkeys(item))}
+    mine = np.array([codes[w] for w in item], np.int64)
+    down = np.arange(len(item) + 1, dtype=np.int64) << 32
+    cost, best = down.copy(), (len(item), 0, 0)
     for j, w in enumerate(words, 1):
-        diagonal, diagonal_origin = cost[0], origin[0]
-        cost[0], origin[0] = 0, j
-        for i, x in enumerate(item, 1):
-            kept = diagonal + (x != w)
-            up, left = cost[i - 1] + 1, cost[i] + 1
-            diagonal, at = cost[i], origin[i]
-            if kept <= up and kept <= left:
-                cost[i], origin[i] = kept, diagonal_origin
-            elif up <= left:
-                cost[i], origin[i] = up, origin[i - 1]
-            else:
-                cost[i] = left
-            diagonal_origin = at
-        if cost[-1] < best[0]:
-            best = (cost[-1], origin[-1], j)
+        new = cost + (1 << 32)
+        new[0] = j
+        np.minimum(new[1:], cost[:-1] + ((mine != codes.get(w, -1)).astype(np.int64) << 32), out=new[1:])
+        cost = np.minimum.accumulate(new - down) + down
+        last = int(cost[-1])
+        if last >> 32 < best[0]:
+            best = (last >> 32, last & 0xFFFFFFFF, j)
     return best
 
 
+def edited_copy(words: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
+    """The words after so many random replacements, insertions and deletions; new words are unlike any other."""
+    out = words.tolist()
+    for _ in range(edits):
+        at, kind, fresh = int(rng.integers(0, max(1, len(out)))), int(rng.integers(0, 3)), int(rng.integers(0, 1 << 63))
+        if kind == 0 and out:
+            out[at] = fresh
+        elif kind == 1 or not out:
+            out.insert(at, fresh)
+        else:
+            del out[at]
+    return np.array(out, np.uint64)
+
+
 class BenchmarkIndex:
     """Seeds, walk samples and words of a bounded block of benchmark items."""
 
@@ -98,7 +124,11 @@ class BenchmarkIndex:
         steps = {g: max(1, int(WALK * sizes[grade == g].min())) for g in sorted(set(grade.tolist()))}
         self.steps = max(steps.values(), default=0)
         self.bits = rng.integers(0, 1 << 63, (REPEATS, max(1, self.steps)), dtype=np.uint64) | np.uint64(1)
-        self.samples = {g: [[rng.integers(0, n, SAMPLES) for _ in range(TABLES)] for _ in range(REPEATS)] for g, n in steps.items()}
+        self.own_seeds = [np.unique(x) for x in seeds]
+        self.samples, self.recall = {}, {}
+        for g, n in steps.items():
+            some = [(words[a:b], self.edits[i]) for i, (a, b) in enumerate(ranges) if grade[i] == g]
+            self.samples[g], self.recall[g] = self.tuned(some, n, rng)
         keys, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         padded = np.concatenate([words, np.zeros(self.steps + 1, np.uint64)])
         starts = np.array([a for a, _ in ranges], np.int64)
@@ -111,6 +141,27 @@ class BenchmarkIndex:
         order = np.argsort(keys, kind="stable")
         self.key, self.owner = keys[order], owner[order]
 
+    def tuned(self, items: list[tuple[np.ndarray, int]], steps: int, rng: np.random.Generator) -> tuple[list, float]:
+        """The sampled steps of each table of each walk, and the share of edited copies they find."""
+        rows = [items[i] for i in rng.integers(0, len(items), TRIALS)]
+        pair = [(w, edited_copy(w, d, rng)) for w, d in rows]
+        texts = [x for both in pair for x in both]
+        padded = np.concatenate([np.append(x, np.zeros(self.steps + 1, np.uint64)) for x in texts])
+        starts = np.cumsum([0, *(len(x) + self.steps + 1 for x in texts[:-1])])
+        same = []  # by walk: whether the item and its copy read the same word at each step
+        for r in range(REPEATS):
+            walk = self.walks(padded, starts, r)[:steps]
+            same.append(walk[:, 0::2] == walk[:, 1::2])
+        for size, tables in SETTINGS:
+            samples = [[rng.integers(0, steps, size) for _ in range(tables)] for _ in range(REPEATS)]
+            found = np.zeros(TRIALS, bool)
+            for r in range(REPEATS):
+                for sample in samples[r]:
+                    found |= same[r][sample].all(axis=0)
+            if found.mean() >= TARGET_RECALL:
+                break
+        return samples, float(found.mean())
+
     def walks(self, words: np.ndarray, starts: np.ndarray, repeat: int) -> np.ndarray:
         """Words read at each step, a row a start."""
         at, out = starts.copy(), np.empty((self.steps, len(starts)), np.uint64)
@@ -125,7 +176,7 @@ class BenchmarkIndex:
             walk = self.walks(words, starts, r)
             for g in self.samples if grade is None else [grade]:
                 for t, sample in enumerate(self.samples[g][r]):
-                    key = np.full(len(starts), (g * REPEATS + r) * TABLES + t + 1, np.uint64)
+                    key = np.full(len(starts), (g * REPEATS + r) * MOST_TABLES + t + 1, np.uint64)
                     for j in sample:
                         key = mixed(key ^ walk[j])
                     yield key
@@ -160,29 +211,34 @@ class BenchmarkIndex:
         starts = self.active_starts(words)
         if not len(starts):
             return []
-        owner, found = text.text_of(), set()
-        padded = np.concatenate([words, np.zeros(self.steps + 1, np.uint64)])
+        owner, found = text.text_of(), [np.zeros(0, np.int64)]
+        padded, items = np.concatenate([words, np.zeros(self.steps + 1, np.uint64)]), len(self.items)
         for i in range(0, len(starts), STARTS):
-            part = starts[i:i + STARTS]
+            part, pairs = starts[i:i + STARTS], [np.zeros(0, np.int64)]
             for key in self.keys(padded, part):
                 low = np.searchsorted(self.key, key)
                 hit = np.flatnonzero(self.key[np.minimum(low, len(self.key) - 1)] == key)
-                high = np.searchsorted(self.key, key[hit], "right")
-                for s, a, b in zip(part[hit].tolist(), low[hit].tolist(), high.tolist()):
-                    found.update((s, o) for o in self.owner[a:b].tolist())
+                low, count = low[hit], np.searchsorted(self.key, key[hit], "right") - low[hit]
+                place = np.arange(count.sum()) + np.repeat(low - np.cumsum(count) + count, count)
+                pairs.append(np.unique(np.repeat(part[hit], count) * items + self.owner[place]))
+            found.append(np.unique(np.concatenate(pairs)))
         best, data = {}, text.data
         spans: dict[tuple[int, int], list[int]] = {}
-        for s, o in sorted(found):
+        for s, o in zip(*(v.tolist() for v in np.divmod(np.concatenate(found), items))):
             spans.setdefault((int(owner[s]), o), []).append(s)
         for (j, o), places in spans.items():
             item, d = self.items[o][1], self.edits[o]
-            end = -1
+            floor, ceiling, end = max(int(text.first[j]), places[0] - d), min(int(text.first[j + 1]), places[-1] + 2 * len(item) + 2 * d), -1
+            shared = np.concatenate([[0], np.cumsum(np.isin(run_hashes(words[floor:ceiling], SEED_WORDS), self.own_seeds[o]))])
             for s in places:
                 if s <= end:  # inside the stretch that was compared last
                     continue
-                low = max(int(text.first[j]), s - d)
+                low = max(floor, s - d)
+                high = min(ceiling, s + len(item) + len(item) + 2 * d)
+                # Fewer of the item's own triples than any passage within the distance shares: no need to compare words.
+                if shared[max(high - floor - SEED_WORDS + 1, low - floor)] - shared[low - floor] < len(item) - SEED_WORDS + 1 - SEED_WORDS * d:
+                    continue
                 end = s + len(item)
-                high = min(int(text.first[j + 1]), end + len(item) + 2 * d)
                 run = [data[a:b].tobytes() for a, b in zip(text.starts[low:high].tolist(), text.ends[low:high].tolist())]
                 exact = s - low
                 if run[exact:exact + len(item)] == item:

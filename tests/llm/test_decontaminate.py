@@ -1,6 +1,7 @@
 import random
 
 import pyarrow as pa
+import pytest
 
 from tallyframe.llm.decontaminate import BenchmarkIndex, allowed_edits, benchmark_matches, clean_documents, lower, nearest_run
 from tallyframe.llm.wordblocks import NOT_ALNUM, WordBlock
@@ -72,6 +73,29 @@ def test_recall_and_precision_against_brute_force():
     assert len(got) / len(want) > 0.95
 
 
+@pytest.mark.parametrize("size", [15, 30, 60, 100, 150, 300, 500])
+def test_recall_at_the_edit_limit(size):
+    """Copies with as many edits as allowed, items of every length."""
+    rng = random.Random(size)
+    vocabulary = ["the", "of", "and"] * 60 + [f"w{i}" for i in range(800)]
+    items = [[rng.choice(vocabulary) for _ in range(size)] for _ in range(20)]
+    index = BenchmarkIndex([(i, " ".join(w)) for i, w in enumerate(items)])
+    planted = [(k % 20, edited(rng, items[k % 20], allowed_edits(size))) for k in range(80)]
+    texts = [" ".join([rng.choice(vocabulary) for _ in range(30)] + w + [rng.choice(vocabulary) for _ in range(30)]) for _, w in planted]
+    found = {(j, index.items[o][0]) for j, o, *_ in index.matches(WordBlock(lower(pa.array(texts)), NOT_ALNUM))}
+    assert min(index.recall.values()) >= 0.95
+    assert sum((j, o) in found for j, (o, _) in enumerate(planted)) / len(planted) >= 0.95
+
+
+def test_scripts_and_typography():
+    """Ideographs are words, and quotes, dashes and spaces of any kind are none."""
+    items = [(1, "敏捷的棕色狐狸跳过了那只懒惰的狗然后它在河边的大树下面安静地睡着了直到第二天早上才醒来"), (2, "\u201cIt\u2019s a long\u2014long way\u201d, said the old sailor\u00a0to his friend, \u2013 \u201cfrom here to the sea\u201d."), (3, "नमस्ते दुनिया यह एक परीक्षण वाक्य है")]
+    index = BenchmarkIndex(items)
+    texts = ["abc " + items[0][1] + " def", items[0][1][:20] + "很" + items[0][1][20:], "\"It's a long-long way\", said the old sailor to his friend, - \"from here to the sea\".", items[2][1], "nothing like it", None]
+    got = {(j, index.items[o][0], e) for j, o, e, *_ in index.matches(WordBlock(lower(pa.array(texts)), NOT_ALNUM))}
+    assert got == {(0, 1, 0), (1, 1, 1), (2, 2, 0), (3, 3, 0)}
+
+
 def test_tables(spark):
     item = "Alpha beta, gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron."
     rows = [(1, "x y z " + item + " tail", 0), (2, item.upper().replace(" ", "!! "), 0), (3, "nothing here at all", 0), (4, None, 0), (5, "", 0), (None, item, 0), (1, "x y z " + item + " tail", 0)]
