@@ -95,14 +95,17 @@ def gram_counts(texts: list[str], order: int = ORDER) -> tuple[list[str], list[i
         number = np.zeros(0x110000, np.uint64)
         number[alphabet] = np.arange(len(alphabet), dtype=np.uint64)
         small, width = number[codes], max(1, int(len(alphabet)).bit_length())
-        if width * order > 64:
-            raise ValueError("too many different characters for this order")
-        key = np.zeros(len(codes) - order + 1, np.uint64)
-        for k in range(order):
-            key = (key << np.uint64(width)) | small[k:len(codes) - order + 1 + k]
-        key, n = np.unique(key[codes[order - 1:] != 0], return_counts=True)
-        shift = np.uint64(width) * np.arange(order - 1, -1, -1, dtype=np.uint64)
-        grams = alphabet[((key[:, None] >> shift) & np.uint64((1 << width) - 1)).astype(np.int64)]
+        whole, size = codes[order - 1:] != 0, len(codes) - order + 1
+        if width * order <= 64:
+            key = np.zeros(size, np.uint64)
+            for k in range(order):
+                key = (key << np.uint64(width)) | small[k:size + k]
+        else:  # too many letters for one key: number the grams anew with every letter
+            key = np.zeros(size, np.int64)
+            for k in range(order):
+                key = np.unique(key * np.int64(len(alphabet)) + small[k:size + k].astype(np.int64), return_inverse=True)[1]
+        _, at, n = np.unique(key[whole], return_index=True, return_counts=True)
+        grams = codes[np.flatnonzero(whole)[at][:, None] + np.arange(order)]
         flat = grams.tobytes().decode("utf-32-le", "surrogatepass")
         for i, c in enumerate(n.tolist()):
             gram = flat[order * i:order * (i + 1)]

@@ -113,3 +113,19 @@ def test_held_out_accuracy(spark):
     held = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) > 0.98
     assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_counts_of_any_number_of_letters():
+    """More different letters than fit a key of four; counts equal those of a plain dictionary."""
+    from collections import Counter
+
+    from tallyframe.llm.langid import characters, gram_counts
+    wide = "".join(chr(c) for c in range(0x32400) if chr(c).isalpha())
+    texts = [wide, "ab ab", wide[:50], ""]
+    assert len(set(wide.lower())) > 65_536
+    want = Counter()
+    for t in texts:
+        codes = characters([t])[0].tolist()
+        want.update("".join(map(chr, codes[i:i + 4])) for i in range(len(codes) - 3) if codes[i + 3])
+    grams, n = gram_counts(texts)
+    assert dict(zip(grams, n)) == want
