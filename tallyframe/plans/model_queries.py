@@ -13,7 +13,8 @@ from ..operators import reduce as rd
 from ..operators import silhouette as si
 from ..operators import splits as sp
 from ..operators.entity_ols import expanding_ols, fit_fold_ols
-from ..sources.tables import read_table
+from ..session import scratch_path
+from ..sources.tables import load_step, read_table, save_model
 from . import flows
 from . import frames as fr
 from .catalog import query
@@ -241,6 +242,21 @@ def _(spark, folder):
     return flows.best_model_series(metrics, ready, "7")
 
 
+@query("s6_saved_model", f"""WITH {TARGETED}, ready AS (SELECT * FROM targeted WHERE target_close_next IS NOT NULL), r AS (SELECT "Name", close, volume, target_close_next AS t FROM ready WHERE target_date < DATE '{fr.CUTOFF}'),
+d AS (SELECT close - avg(close) OVER w AS a, volume - avg(volume) OVER w AS b, t - avg(t) OVER w AS y FROM r WINDOW w AS (PARTITION BY "Name")),
+m AS (SELECT sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb, sum(a * y) AS ay, sum(b * y) AS yb FROM d),
+s AS (SELECT (ay * bb - yb * ab) / (aa * bb - ab * ab) AS p, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS q FROM m),
+e AS (SELECT "Name", count(*) AS n, avg(t) - any_value(p) * avg(close) - any_value(q) * avg(volume) AS effect FROM r, s GROUP BY 1), u AS (SELECT sum(n * effect) / sum(n) AS unseen FROM e)
+SELECT "Name", CAST(date AS VARCHAR) AS date, coalesce(effect, unseen) + p * close + q * volume AS prediction FROM ready LEFT JOIN e USING ("Name"), s, u WHERE target_date >= DATE '{fr.CUTOFF}'""", "prediction")
+def _(spark, folder):
+    """Test predictions of the least-squares model after it was saved and loaded again."""
+    from ..operators.entity_ols import fit_entity_ols
+
+    ready, path = _ready(spark, folder), scratch_path(spark, "s6")
+    save_model(fit_entity_ols(ready.where("split = 'train'"), ["close", "volume"], "Name", "target_close_next"), path)
+    return load_step(spark, path).transform(ready.where("split = 'test'")).select("Name", "date", "prediction")
+
+
 FOLD_MODELS = f"""WITH {TARGETED}, ready AS (SELECT * FROM targeted WHERE target_close_next IS NOT NULL AND target_date < DATE '{fr.CUTOFF}'),
 days AS (SELECT target_date, row_number() OVER (ORDER BY target_date) - 1 AS pos, count(*) OVER () AS n FROM (SELECT DISTINCT target_date FROM ready)),
 r AS (SELECT "Name", close, volume, target_close_next AS t, CASE WHEN pos < n - 5 * (n // 6) THEN 0 ELSE (pos - (n - 5 * (n // 6))) // (n // 6) + 1 END AS f FROM ready JOIN days USING (target_date)),

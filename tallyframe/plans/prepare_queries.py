@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalar as sc
 from ..functions.windows import running_sum
@@ -11,6 +12,9 @@ from ..operators import outliers as o
 from ..operators import panel as pn
 from ..operators import prepare as p
 from ..operators import sampling as sm
+from ..operators import validate as v
+from ..session import scratch_path
+from ..sources import tables as tb
 from ..sources.tables import read_table
 from . import frames as fr
 from .catalog import query
@@ -26,6 +30,61 @@ def _doubled(spark, folder):
     return events.withColumn("copy", F.lit(0)).unionByName(again)
 
 
+# Round trips: each writes a whole table to the shared folder and reads it back -----------------------
+
+ORDER_TEXT = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("day", T.DateType()), T.StructField("o_totalprice", T.DoubleType())])
+
+
+@query("s1_delimited_scan", "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer", "c_acctbal")
+def _(spark, folder):
+    """Customers through semicolon-delimited text with a header; types are inferred."""
+    path = scratch_path(spark, "s1")
+    tb.write_delimited(read_table(spark, folder, "customer", ["c_custkey", "c_mktsegment", "c_acctbal"]), path, sep=";")
+    return tb.read_delimited(spark, path, sep=";")
+
+
+@query("s2_dated_scan", "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, o_totalprice FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1998-01-01'", "o_totalprice")
+def _(spark, folder):
+    """Orders through comma-delimited text whose dates are parsed by the schema, filtered on the date."""
+    path = scratch_path(spark, "s2")
+    tb.write_delimited(read_table(spark, folder, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"), "o_totalprice"), path)
+    return tb.read_delimited(spark, path, ORDER_TEXT).where("day >= '1998-01-01'")
+
+
+@query("s5_delimited_sink", "SELECT o_orderstatus, count(*) AS rows, CAST(min(CAST(o_orderdate AS DATE)) AS VARCHAR) AS first_day, CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) AS last_day, sum(o_totalprice) AS total FROM orders GROUP BY 1", "total", digits=2)
+def _(spark, folder):
+    """Orders written with a date format, a folder a status, and read back by it."""
+    path = scratch_path(spark, "s5")
+    rows = read_table(spark, folder, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"), "o_totalprice", "o_orderstatus")
+    tb.write_delimited(rows, path, date_format="dd/MM/yyyy", partition_by=["o_orderstatus"])
+    back = tb.read_delimited(spark, path, T.StructType([*ORDER_TEXT.fields, T.StructField("o_orderstatus", T.StringType())]), date_format="dd/MM/yyyy")
+    return back.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows"), F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.sum("o_totalprice").alias("total"))
+
+
+@query("s7_run_record", """SELECT count(*) AS rows, ['l_quantity', 'l_extendedprice'] AS columns, [round(avg(l_quantity), 6), round(avg(l_extendedprice), 6)] AS means FROM lineitem""")
+def _(spark, folder):
+    """Row count and means of a scan as one JSON record, read back."""
+    path, columns = scratch_path(spark, "s7"), ["l_quantity", "l_extendedprice"]
+    figures = read_table(spark, folder, "lineitem").agg(F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(c) for c in columns]).first()
+    tb.write_run_record(spark, {"rows": figures["rows"], "columns": columns, "means": [round(figures[c], 6) for c in columns]}, path)
+    return tb.read_run_record(spark, path).select("rows", "columns", "means")
+
+
+@query("v1_require_columns", "SELECT 'missing required columns: [''c_fax'', ''c_mail'']' AS verdict, count(*) AS rows FROM customer UNION ALL SELECT 'complete', count(*) FROM customer UNION ALL SELECT 'the input has no rows', count(*) FILTER (WHERE c_custkey < 0) FROM customer")
+def _(spark, folder):
+    """What the check says of a complete table, one without two columns and one without rows."""
+    df = read_table(spark, folder, "customer")
+    def verdict(rows, columns):
+        try:
+            v.require_columns(rows, columns)
+        except ValueError as fault:
+            return str(fault)
+        return "complete"
+    asked = [(df, ["c_custkey", "c_mail", "c_fax"]), (df, ["c_custkey"]), (df.where("c_custkey < 0"), ["c_custkey"])]
+    parts = [rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(verdict(rows, columns)).alias("verdict"), "rows") for rows, columns in asked]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("f1_entity_series", DOUBLED + """SELECT event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_id, value FROM twice WHERE event_type = 'click'
 QUALIFY row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY copy, event_id) = 1""", "value")
 def _(spark, folder):

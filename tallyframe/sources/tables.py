@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from dataclasses import fields
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -61,14 +63,58 @@ def write_run_record(spark: SparkSession, record: Mapping[str, object], path: st
     spark.createDataFrame([dict(record)]).coalesce(1).write.mode("overwrite").json(path)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def read_run_record(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.json(path)
+
+
+def save_model(model: object, path: str) -> None:
+    """Save a fitted pipeline or one of the library's own fitted steps, replacing what is there."""
+    if isinstance(model, PipelineModel):
+        model.write().overwrite().save(path)
+    else:
+        save_step(model, path)
 
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def step_classes() -> dict[str, type]:
+    """The library's fitted steps by name."""
+    from ..operators import entity_ols, prepare, reduce
+
+    kinds = [entity_ols.EntityOls, entity_ols.FoldOls, prepare.IqrCapper, prepare.MedianImputer, prepare.MinMaxScaler, prepare.ModeImputer, prepare.ZScaler, reduce.TruncatedSvd]
+    return {k.__name__: k for k in kinds}
+
+
+def save_step(step: object, path: str) -> None:
+    """Save a fitted step: numbers and names as one JSON line, tables (such as the effects of entities) as Parquet.
+
+    Everything goes through Spark, so the path may be on any file system the cluster reaches.
+    """
+    name = type(step).__name__
+    if name not in step_classes():
+        raise ValueError(f"not a step that can be saved: {name}")
+    spark = SparkSession.getActiveSession()
+    plain, frames = {}, {}
+    for f in fields(step):
+        value = getattr(step, f.name)
+        (frames if isinstance(value, DataFrame) else plain)[f.name] = value
+    for key, frame in frames.items():
+        frame.write.mode("overwrite").parquet(f"{path}/{key}")
+    # Keys of dictionaries may be numbers, which JSON objects cannot have; they are listed as pairs.
+    record = {k: {"pairs": [[i, j] for i, j in v.items()]} if isinstance(v, dict) else v for k, v in plain.items()}
+    line = json.dumps({"step": name, "values": record, "frames": sorted(frames)})
+    spark.createDataFrame([(line,)], "line string").coalesce(1).write.mode("overwrite").text(f"{path}/step")
+
+
+def load_step(spark: SparkSession, path: str) -> object:
+    """A step saved by ``save_step``, in this or any later session."""
+    record = json.loads(spark.read.text(f"{path}/step").first()[0])
+    values = {k: dict((i, j) for i, j in v["pairs"]) if isinstance(v, dict) and set(v) == {"pairs"} else v for k, v in record["values"].items()}
+    return step_classes()[record["step"]](**values, **{k: spark.read.parquet(f"{path}/{k}") for k in record["frames"]})
+
+
 def daily_bars(ticks: DataFrame, entity: str, time: str = "ts", value: str = "value", tie: str = "event_id") -> DataFrame:
     """Daily open, high, low, close and tick count per entity; (time, tie) decides first and last.
 
