@@ -29,8 +29,8 @@ from .wordblocks import WordBlock
 
 FILTERS = "ABCDE"
 MIN_WORDS = 100
-RANGE_BYTES = 16 << 20
-MOST_RANGES = 1 << 14
+RANGE_BYTES = 1 << 20
+MOST_RANGES = 1 << 18
 HELD_CHARS = 32 << 20  # characters of distinct texts that a task keeps in its own trie
 HEAD = 64  # characters of a text that decide its range unless a longer prefix is too heavy
 SIGNS = np.isin(np.arange(256), [ord(c) for c in "#$%&*|"])
