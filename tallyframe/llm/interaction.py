@@ -24,15 +24,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, read_table, written
+from .common import blocks, give_back, read_table, written
 from .wordblocks import WordBlock
 
 FILTERS = "ABCDE"
 MIN_WORDS = 100
 RANGE_BYTES = 1 << 20
 MOST_RANGES = 1 << 18
-HELD_CHARS = 32 << 20  # characters of distinct texts that a task keeps in its own trie
+HELD_CHARS = 8 << 20  # characters of distinct texts that a task keeps in its own trie
 HEAD = 64  # characters of a text that decide its range unless a longer prefix is too heavy
+FILTER_BYTES = 1 << 20  # text a task looks at together
 SIGNS = np.isin(np.arange(256), [ord(c) for c in "#$%&*|"])
 CAPITALS = np.isin(np.arange(256), range(ord("A"), ord("Z") + 1))
 STARTS = np.array([i & 0xC0 != 0x80 for i in range(256)])  # bytes that begin a code point
@@ -203,7 +204,7 @@ def masked(docs: DataFrame, range_bytes: int = RANGE_BYTES, most: int = MOST_RAN
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The text filters, and all that a task can tell about duplicates from the texts it has seen itself."""
         trie, held = RadixTrie(), 0
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", FILTER_BYTES):
             masks = failed_alone(block.column("text")).tolist()
             keys, parts, texts = (block.column(c).to_pylist() for c in ("doc_id", "part", "text"))
             known, touched = Counter(), {}
@@ -224,6 +225,8 @@ def masked(docs: DataFrame, range_bytes: int = RANGE_BYTES, most: int = MOST_RAN
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], ["doc_id", "part", "mask", "n", "place", "body"])
             if held > HELD_CHARS:
                 trie, held = RadixTrie(), 0
+        del trie
+        give_back()
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One trie a range; rows come sorted by range, those without one are settled already."""
@@ -245,6 +248,8 @@ def masked(docs: DataFrame, range_bytes: int = RANGE_BYTES, most: int = MOST_RAN
                 out = []
         if last := rest():
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*last), types)], names)
+        del trie
+        give_back()
 
     sent = rows.mapInArrow(local, SENT.format(id=key))
     # Rows without a range are spread by what they are; repeated ones have been counted together.
