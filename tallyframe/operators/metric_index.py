@@ -32,6 +32,7 @@ MAX_PIVOTS = 2_048
 SAMPLE_ROWS = 16_384
 BUNDLE_LEAVES = 8
 SLICE_ROWS = 16_384
+IN_PLACE_ROWS, IN_PLACE_VALUES = 8_192, 4 << 20  # a table so small travels to the queries; no index is built
 ROOM = 1e-9  # relative slack of bounds; distances themselves are compared exactly
 
 
@@ -233,11 +234,38 @@ def compare(left: DataFrame, right: DataFrame, pairs: DataFrame, run: Callable[[
     return lefts.groupBy("bundle", "slice").cogroup(rights.groupBy("bundle", "slice")).applyInPandas(both, schema)
 
 
+def held(points: DataFrame) -> pd.DataFrame | None:
+    """The points themselves if they are few enough to travel to any number of queries, else nothing."""
+    first = points.select(F.size("features").alias("n")).first()
+    limit = min(IN_PLACE_ROWS, IN_PLACE_VALUES // max(1, first["n"] if first else 1))
+    rows = points.limit(limit + 1).toPandas()
+    return rows.sort_values("id", ignore_index=True) if len(rows) <= limit else None
+
+
+def in_place(queries: DataFrame, run: Callable[[np.ndarray, np.ndarray], pd.DataFrame], schema: str) -> DataFrame:
+    """``run(ids, matrix)`` on the queries where they are, some hundred at a time."""
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i in range(0, len(batch), 512):
+                part = batch.iloc[i:i + 512]
+                yield run(part["id"].to_numpy(), matrix(part))
+
+    return queries.select("id", "features").mapInPandas(scan, schema)
+
+
 def nearest(queries: DataFrame, points: DataFrame, eps: float) -> DataFrame:
     """``id``, ``distance``, ``point``, ``label`` of each query's nearest point within ``eps``, the smallest id on ties.
 
     ``queries`` has ``id`` and ``features``, ``points`` also ``label``; queries without such a point are left out.
     """
+    if (few := held(points)) is not None:
+        known, names, labels = matrix(few), few["id"].to_numpy(), few["label"].to_numpy()
+        def look(ids: np.ndarray, x: np.ndarray) -> pd.DataFrame:
+            d = distances(x, known)
+            best = d.argmin(1)
+            found = pd.DataFrame({"id": ids, "distance": d[np.arange(len(d)), best], "point": names[best], "label": labels[best]})
+            return found[found["distance"] <= eps]
+        return in_place(queries, look, "id long, distance double, point long, label long")
     right = build(points)
     left = build(queries, right.pivots)
 
@@ -284,6 +312,19 @@ def kth(points: DataFrame, queries: DataFrame, k: int, cap: float | None = None,
 
     Queries are null where the table has fewer than ``k`` rows, or, with ``cap``, none within it.
     """
+    if (few := held(points)) is not None:
+        known, weight = matrix(few), few["weight"].to_numpy()
+        def look(ids: np.ndarray, x: np.ndarray) -> pd.DataFrame:
+            i, d, w = smallest(distances(x, known), weight, k)
+            near = pd.DataFrame({"i": i, "distance": d, "upto": w})
+            near["upto"] = near.groupby("i")["upto"].cumsum()
+            at = near[near["upto"] >= k].groupby("i")["distance"].first()
+            out = np.full(len(ids), np.nan)
+            out[at.index.to_numpy(int)] = at.to_numpy()
+            out[out > (np.inf if cap is None else cap)] = np.nan
+            return pd.DataFrame({"id": ids, "distance": out})
+        kind = queries.schema["id"].dataType.simpleString()
+        return in_place(queries, look, f"id {kind}, distance double").select("id", F.nullif(F.col("distance"), F.lit(float("nan"))).alias("distance"))
     right = build(points, leaf_rows=leaf_rows)
     left = build(queries.withColumn("weight", F.lit(1).cast("long")), right.pivots, leaf_rows)
     return queries.select("id").join(kth_in(left, right, k, cap), "id", "left")

@@ -38,7 +38,7 @@ def test_pivots_and_leaves():
 @pytest.fixture(scope="module")
 def small_leaves():
     patch = pytest.MonkeyPatch()
-    for name, value in {"LEAF_ROWS": 16, "GROUP_ROWS": 200, "PIVOT_ROWS": 60, "SLICE_ROWS": 64, "BUNDLE_LEAVES": 2}.items():
+    for name, value in {"IN_PLACE_ROWS": 0, "LEAF_ROWS": 16, "GROUP_ROWS": 200, "PIVOT_ROWS": 60, "SLICE_ROWS": 64, "BUNDLE_LEAVES": 2}.items():
         patch.setattr(mi, name, value)
     yield
     patch.undo()
@@ -112,3 +112,18 @@ def test_nearest_in_ten_dimensions(spark, small_leaves):
     d = mi.distances(asked, np.vstack([x, x[:40]]))
     want = {i: (int(d[i].argmin()), 10 * int(d[i].argmin()), d[i].min()) for i in range(len(asked)) if d[i].min() <= 2.0}
     assert got == want and 0 < len(want)
+
+
+def test_few_points_travel_to_the_queries(spark):
+    """The way without an index gives the same k-distances and nearest points."""
+    rng = np.random.default_rng(8)
+    x, asked = np.round(rng.normal(0, 1, (200, 6)), 1), np.round(rng.normal(0, 1, (700, 6)), 1)
+    points = table(spark, x).withColumn("weight", (1 + F.col("id") % 3).cast("long"))
+    many = np.sort(np.repeat(mi.distances(asked, x), 1 + np.arange(200) % 3, axis=1), axis=1)
+    for k, cap in ((5, None), (9, 1.5), (999, None)):
+        got = mi.kth(points, table(spark, asked), k, cap).toPandas().sort_values("id")["distance"].fillna(-1).to_numpy()
+        want = many[:, k - 1] if k < 999 else np.full(700, -1.0)
+        assert np.array_equal(got, want if cap is None else np.where(want <= cap, want, -1))
+    d = mi.distances(asked, x)
+    got = {r.id: (r.point, r.label, r.distance) for r in mi.nearest(table(spark, asked), points.withColumn("label", F.col("id") * 10), 1.0).collect()}
+    assert got == {i: (int(d[i].argmin()), 10 * int(d[i].argmin()), d[i].min()) for i in range(700) if d[i].min() <= 1.0}
