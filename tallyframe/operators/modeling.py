@@ -5,21 +5,25 @@ Every step is a persistable ML stage; statistics are read from the training rows
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import held_for_training
+from ..session import checkpointed, held_for_training
 from .entity_ols import EntityOls, fit_entity_ols
 from .metrics import regression_metrics, summary_metrics
 from .prepare import MedianImputer, ModeImputer, ZScaler
@@ -213,3 +217,67 @@ def expanding_cv(train: DataFrame, numeric: Sequence[str], categorical: Sequence
     timings = [row for _, rows in done for row in rows]
     clock = train.sparkSession.createDataFrame(timings, "fold int, model string, fit_seconds double, predict_seconds double")
     return reduce(DataFrame.unionByName, parts).join(F.broadcast(clock), ["fold", "model"])
+
+
+# Chance of at least k draws of a row in a bootstrap of the whole table (Poisson with mean one).
+DRAWS = 8
+AT_LEAST = [1 - sum(math.exp(-1) / math.factorial(i) for i in range(k)) for k in range(1, DRAWS + 1)]
+TREES_A_PASS = 25
+
+
+def bootstrap_draws(hashed: Column, tree: int, seed: int = SEED) -> Column:
+    """How often a row is drawn for one tree: reproducible from the hash of its key, whatever the partitioning."""
+    u = F.pmod(F.xxhash64(hashed, F.lit(seed), F.lit(tree)), F.lit(1 << 40)) / float(1 << 40)
+    return reduce(lambda a, b: a + b, [(u < p).cast("int") for p in AT_LEAST])
+
+
+@dataclass
+class BalancedSubsampleForest:
+    """Trees of which each was grown on a bootstrap of its own, weighted by the classes of that bootstrap."""
+
+    trees: list
+    class_weights: list[dict[float, float]]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``probability`` (mean of the trees' class shares) and ``prediction``. A pass adds some trees."""
+        total = df.withColumn("_total", F.lit(None).cast("array<double>"))
+        for first in range(0, len(self.trees), TREES_A_PASS):
+            for tree in self.trees[first:first + TREES_A_PASS]:
+                share = vector_to_array("_p")
+                scored = tree.transform(total)
+                total = scored.withColumn("_total", F.when(F.col("_total").isNull(), share).otherwise(F.zip_with("_total", share, lambda a, b: a + b))).drop("_p", "_raw", "_label")
+            total = checkpointed(total)
+        mean = F.transform("_total", lambda v: v / len(self.trees))
+        best = F.array_position("_total", F.array_max("_total")) - 1
+        return total.withColumns({"probability": mean, "prediction": best.cast("double")}).drop("_total")
+
+    def importances(self, df: DataFrame) -> DataFrame:
+        """Mean importance of each slot over the trees."""
+        weights = np.mean([t.featureImportances.toArray() for t in self.trees], axis=0)
+        names = slot_names(df) or [f"slot_{i}" for i in range(len(weights))]
+        return df.sparkSession.createDataFrame([(n, float(w)) for n, w in zip(names, weights)], "feature string, importance double").orderBy(F.desc("importance"), "feature")
+
+
+def balanced_subsample_forest(df: DataFrame, key: Sequence[str], trees: int = CLASSIFIER_TREES, depth: int = 20, min_leaf: int = CLASSIFIER_MIN_LEAF,
+                              max_bins: int = 64, seed: int = SEED, parallelism: int = 8) -> BalancedSubsampleForest:
+    """Random forest whose class weights follow each tree's own bootstrap (``label``, ``features_vector``, ``key``).
+
+    A row counts as often as it is drawn times rows / (classes * draws of its class) of that bootstrap.
+    The class sums of all trees come from one aggregate; ``parallelism`` trees grow at the same time.
+    """
+    rows = held_for_training(df.select("label", "features_vector", F.xxhash64(*key).alias("hash")))
+    sums = rows.groupBy("label").agg(*[F.sum(bootstrap_draws(F.col("hash"), t, seed)).alias(f"t{t}") for t in range(trees)]).collect()  # a row a class
+    weights = []
+    for t in range(trees):
+        drawn = {r["label"]: r[f"t{t}"] for r in sums if r[f"t{t}"]}
+        weights.append({c: sum(drawn.values()) / (len(drawn) * n) for c, n in drawn.items()})
+
+    def grow(t: int):
+        weight = reduce(lambda w, item: w.when(F.col("label") == F.lit(item[0]), F.lit(item[1])), weights[t].items(), F)
+        own = rows.withColumn("_weight", bootstrap_draws(F.col("hash"), t, seed) * weight).where(F.col("_weight") > 0)
+        return RandomForestClassifier(featuresCol="features_vector", labelCol="label", weightCol="_weight", numTrees=1, bootstrap=False, subsamplingRate=1.0, featureSubsetStrategy="sqrt",
+                                      maxDepth=depth, minInstancesPerNode=min_leaf, maxBins=max_bins, seed=seed + t, probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_label").fit(own)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        grown = list(pool.map(inheritable_thread_target(df.sparkSession)(grow), range(trees)))
+    return BalancedSubsampleForest(grown, weights)
