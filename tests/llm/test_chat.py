@@ -1,7 +1,7 @@
 import hashlib
 import random
 
-from tallyframe.llm.chat import conversation_events, digests, folded, op4_chat_formatting, read_back, rendered
+from tallyframe.llm.chat import conversation_events, digests, folded, op4_chat_formatting, read_back, rendered, revised_events
 
 
 def sha(text):
@@ -50,6 +50,35 @@ def test_repeated_rows_and_nulls(spark):
     assert got[None].loss_sha256 == sha("q")
 
 
+def by_the_book(events):
+    """Fold of a whole log in one loop over its sequence: (conv_id, turn, part) -> (role, text)."""
+    out = {}
+    for e in sorted(events, key=lambda e: tuple(-1 if x is None else x for x in e.seq)):
+        role, text = out.get((e.conv_id, e.turn, e.part), ("", ""))
+        text = {"delta": text + (e.text or ""), "edit": e.text or "", "regenerate": ""}[e.kind]
+        out[e.conv_id, e.turn, e.part] = (role if e.role is None else e.role, text)
+    return out
+
+
+def test_revised_log_folds_to_its_turns(spark):
+    rng = random.Random(5)
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", rng.choice(TRICKY) * rng.randint(0, 4)) for c in range(60) for t in range(rng.randint(1, 8))]
+    rows += [(None, None, "assistant", None), (0, 0, "user", "twice"), (0, 0, "user", "twice"), (61, 2 ** 62, None, "x" * 30_000)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    log = revised_events(table, 7)
+    events = log.collect()
+    kinds = [e.kind for e in events]
+    assert kinds.count("regenerate") > 20 and kinds.count("edit") > 10
+    want = by_the_book(events)
+    got = {(m.conv_id, m.turn, m.part): (m.role, m.text) for m in folded(log.repartition(7)).collect()}
+    assert got == want
+    assert sorted((k[0], k[1], *v) for k, v in got.items() if None not in k) == sorted((c, t, r or "", x or "") for c, t, r, x in rows if c is not None)
+    # Without its revisions the log says something else, so the fold decides the result.
+    drafts = {(m.conv_id, m.turn, m.part): m.text for m in folded(log.where("seq.round = 0")).collect()}
+    assert sum(drafts[k] != v[1] for k, v in got.items()) > 30
+    assert revised_events(table.limit(0)).count() == 0
+
+
 def test_query_against_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     turns = {}
