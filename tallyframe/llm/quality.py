@@ -1,35 +1,38 @@
 """Quality rules with risk-controlled cutoffs, in DataFrame functions only.
 
-Each rule rejects a document whose score is above a cutoff. Cutoffs are not guessed: on the labelled
-good documents of each stratum (language), every cutoff of a fixed grid is tested against the
-hypothesis "it rejects more than ``risk`` of the good documents". The test is the exact binomial
-tail P(Bin(n, risk) <= rejected), corrected for all strata, rules and cutoffs together (Bonferroni)
-and with the risk shared among the rules. The strictest cutoff that passes is used; a stratum with
-too few labels for any guarantee gets no cutoff for that rule. So with probability ``1 - error`` no
-stratum loses more than ``risk`` of its good documents to the learned cutoffs.
+Each rule rejects a document whose score is above a cutoff. Cutoffs are not guessed: they form one fixed
+ladder, which tightens a rule from its loosest cutoff to its strictest, then the next rule, and so on. On
+the labelled documents of each stratum (language) every step of the ladder is tested against the hypothesis
+"all cutoffs so far together reject more than ``risk`` of the good documents". The test is the exact
+binomial tail P(Bin(n, risk) <= rejected). Steps of a stratum are tested in their order (fixed-sequence
+testing, which needs no correction among them); the strata share ``error`` by Holm's correction, a stratum
+whose whole ladder passes handing its share to the others. So with probability ``1 - error`` no passing
+step of any stratum rejects more than ``risk`` of its good documents. As that holds for all passing
+steps at once, the one used may be chosen freely: it catches most labelled bad documents less the good ones
+it loses, the strictest of equals. A stratum with too few labels for any step gets no cutoff: with
+four strata a step takes at least 217 good documents.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, read_table, written
+from .common import SPACES, read_table, unused, written
 
 BLANKS = " \t\n\x0b\f\r"
 REPEAT = 8
 MIN_WORDS = 20
 RISK = 0.02
 ERROR = 0.05
-#: Score and cutoff grid of each rule, strictest first.
+#: Cutoffs of each rule, strictest first. Rules stand in the order of the ladder: first those whose high
+#: scores natural text hardly has, then repeats, which lists, forms and verse have too.
 GRID = {
     "symbols": (0.02, 0.03, 0.05, 0.08, 0.12, 0.2, 0.3),
+    "long_words": (8.0, 9.0, 10.0, 12.0, 15.0, 20.0, 30.0),
+    "capitals": (0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.7),
     "dup_lines": (0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.7),
     "repeats": (0.05, 0.08, 0.12, 0.16, 0.2, 0.25, 0.3),
-    "capitals": (0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.7),
-    "long_words": (8.0, 9.0, 10.0, 12.0, 15.0, 20.0, 30.0),
 }
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
 
@@ -108,47 +111,68 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.aggregate(upto, start, add, lambda a: a["sum"])))
 
 
-def cutoff_tests(good: DataFrame, risk: float = RISK, error: float = ERROR, grid: dict = GRID) -> DataFrame:
-    """Every cutoff with its evidence: stratum, rule, cutoff, n, rejected, p_value, passes.
+def ladder(grid: dict = GRID) -> list[tuple[str, float]]:
+    """The steps: (rule, cutoff), loosest first within a rule. A step keeps the cutoffs of all steps before it."""
+    return [(rule, cut) for rule, cuts in grid.items() for cut in sorted(cuts, reverse=True)]
+
+
+def first_step(rules: dict[str, Column], grid: dict = GRID) -> Column:
+    """Number of the first step that rejects a document with these scores; the number of steps if none does."""
+    steps = ladder(grid)
+    hits = [F.when(rules[rule] > cut, F.lit(i)) for i, (rule, cut) in enumerate(steps)]
+    return F.coalesce(*hits, F.lit(len(steps)))
+
 
-    ``good`` has ``stratum`` and one score column per rule, a row per labelled good document.
+def step_tests(labelled: DataFrame, risk: float = RISK, error: float = ERROR, steps: int = len(ladder())) -> DataFrame:
+    """Every step with its evidence: stratum, step, n, rejected, caught, p_value, passes.
+
+    ``labelled``: a row a labelled document with ``stratum``, ``good`` (boolean) and ``first``, the first step
+    that rejects it (``steps`` or more if none does). ``n`` counts the good documents, ``rejected`` and
+    ``caught`` the good and the bad ones that a step rejects.
     """
-    cells = F.array(*[
-        F.struct(F.lit(rule).alias("rule"), reduce(lambda a, b: a + b, [(F.col(rule) > c).cast("int") for c in cuts]).alias("above"))
-        for rule, cuts in grid.items()])
-    counts = good.select("stratum", F.inline(cells)).groupBy("stratum", "rule", "above").agg(F.count("*").alias("c"))
-    counts = counts.groupBy("stratum", "rule").agg(F.sum("c").alias("n"), F.collect_list(F.struct("above", "c")).alias("by"))
-    cuts = F.create_map(*[x for rule, cuts in grid.items() for x in (F.lit(rule), F.array(*[F.lit(float(c)) for c in cuts]))])
-    rows = counts.select("stratum", "rule", "n", "by", F.posexplode(cuts[F.col("rule")]).alias("at", "cutoff"))
-    over = F.aggregate(F.filter("by", lambda b: b["above"] > F.col("at")), F.lit(0).cast("long"), lambda a, b: a + b["c"])
-    tests = F.count("*").over(Window.partitionBy())  # strata x rules x cutoffs, a few hundred rows
-    return (rows.select("stratum", "rule", "cutoff", "n", over.alias("rejected"))
-            .withColumn("p_value", binomial_tail(F.col("n"), F.col("rejected"), risk / len(grid)))
-            .withColumn("passes", F.col("p_value") * tests <= error))
-
-
-def cutoffs(tests: DataFrame, grid: dict = GRID) -> DataFrame:
-    """One row a stratum: the strictest cutoff of each rule that passes, null where none does."""
-    return tests.where("passes").groupBy("stratum").agg(*[
-        F.min(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"_cut_{rule}") for rule in grid])
+    cells = labelled.groupBy("stratum", "first").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    strata = cells.groupBy("stratum").agg(F.sum("good").alias("n"), F.collect_list(F.struct("first", "good", "bad")).alias("by"))
+    rows = strata.where("n > 0").select("stratum", "n", "by", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("step"))
+
+    def upto(name: str) -> Column:
+        return F.aggregate(F.filter("by", lambda b: b["first"] <= F.col("step")), F.lit(0).cast("long"), lambda a, b: a + b[name])
+
+    rows = rows.select("stratum", "step", "n", upto("good").alias("rejected"), upto("bad").alias("caught"))
+    rows = rows.withColumn("p_value", binomial_tail(F.col("n"), F.col("rejected"), risk))
+    # Later steps reject no fewer documents, so p-values rise along a ladder and the last one is its largest.
+    rows = rows.withColumn("largest", F.max("p_value").over(Window.partitionBy("stratum")))
+    by_largest, whole = Window.orderBy("largest", "stratum"), Window.partitionBy()  # a stratum has ``steps`` rows
+    rows = rows.withColumn("turn", F.dense_rank().over(by_largest))
+    rows = rows.withColumn("strata", F.max("turn").over(whole))
+    rows = rows.withColumn("stopped", F.min(F.when(F.col("largest") * (F.col("strata") - F.col("turn") + 1) > error, F.col("turn"))).over(whole))
+    share = error / (F.col("strata") - F.least("turn", "stopped") + 1)
+    return rows.select("stratum", "step", "n", "rejected", "caught", "p_value", (F.col("p_value") <= share).alias("passes"))
+
+
+def chosen_steps(tests: DataFrame) -> DataFrame:
+    """``stratum`` and ``step``: of its passing steps the one that catches most bad documents less the good ones it loses."""
+    return tests.where("passes").groupBy("stratum").agg(F.max_by("step", F.struct(F.col("caught") - F.col("rejected"), F.col("step"))).alias("step"))
 
 
 def judged(featured: DataFrame, labels: DataFrame, prefix: str = "", risk: float = RISK, error: float = ERROR) -> DataFrame:
     """``featured`` (written, with ``doc_id`` and ``lang``) plus ``{prefix}base_failed`` and ``{prefix}kept``.
 
-    ``labels`` has ``doc_id`` and ``quality``; a document is good if its best label is 1. Rows with
-    a null ``doc_id`` are never labelled. The stratum of a null ``lang`` is its own.
+    ``labels`` has ``doc_id`` and ``quality``; a document is good if its best label is 1, bad if that is 0, and
+    counts once however many rows it has. Good documents that the base rule rejects are not lost to a step.
+    Rows with a null ``doc_id`` are never labelled. The stratum of a null ``lang`` is its own.
     """
-    stratum = F.coalesce(F.col("lang"), F.lit(""))
-    best = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("_quality")).where("_quality = 1")
+    none = len(ladder())
+    stratum = F.when(F.col("lang").isNull(), F.lit("")).otherwise(F.concat(F.lit("s"), F.col("lang").cast("string")))
+    best = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("best")).where("best in (0, 1)")
     bad_base = (F.col(f"{prefix}n_words") < MIN_WORDS) | (100 * F.col(f"{prefix}n_repeat_words") > 30 * F.col(f"{prefix}n_words"))
-    scored = featured.select("doc_id", stratum.alias("stratum"), *[s.alias(rule) for rule, s in scores(prefix).items()])
-    found = written(cutoffs(cutoff_tests(scored.join(best.select("doc_id"), "doc_id", "left_semi"), risk, error)), "cutoffs")
-    joined = featured.withColumn("_stratum", stratum).join(found.withColumnRenamed("stratum", "_stratum"), "_stratum", "left")
-    over = reduce(lambda a, b: a | b, [F.coalesce(s > F.col(f"_cut_{rule}"), F.lit(False)) for rule, s in scores(prefix).items()])
-    return (joined.withColumn(f"{prefix}base_failed", bad_base)
-            .withColumn(f"{prefix}kept", ~bad_base & ~over)
-            .drop("_stratum", *[f"_cut_{rule}" for rule in GRID]))
+    first = first_step(scores(prefix))
+    scored = featured.select("doc_id", stratum.alias("stratum"), F.when(bad_base, F.lit(none)).otherwise(first).alias("first"))
+    labelled = scored.join(best, "doc_id").groupBy("doc_id", "stratum").agg(F.min("first").alias("first"), (F.first("best") == 1).alias("good"))
+    key, step = unused(featured.columns, "_stratum"), unused(featured.columns, "_step")
+    found = written(chosen_steps(step_tests(labelled, risk, error)), "steps").select(F.col("stratum").alias(key), F.col("step").alias(step))
+    over = F.coalesce(first <= F.col(step), F.lit(False))
+    return (featured.withColumn(key, stratum).join(found, key, "left")
+            .withColumns({f"{prefix}base_failed": bad_base, f"{prefix}kept": ~bad_base & ~over}).drop(key, step))
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
@@ -157,7 +181,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = RISK, error:
     Needs ``doc_id``, ``text`` and ``lang``; other columns are ignored. One row a row: ``doc_id``,
     ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``,
     ``kept``. Null and blank texts have no words and fail the base rule. Repeated rows stay. Without
-    labels only the base rule rejects. An empty table gives no rows.
+    labels only the base rule rejects. An empty table gives no rows. A very long text is one value in its task.
     """
     featured = written(with_features(docs.select("doc_id", "lang", "text")).drop("text"), "features")
     shown = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -165,9 +189,15 @@ def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = RISK, error:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """``docs`` without the rejected rows; texts are read once and never shuffled on a key."""
-    featured = written(with_features(docs, "_q_"), "featured")
-    return judged(featured, labels, "_q_", risk, error).where("_q_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the rejected rows; texts are read once and never shuffled on a key.
+
+    Columns of any name may be there; the counts take names that none of them begins with.
+    """
+    prefix = "_q_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    featured = written(with_features(docs, prefix), "featured")
+    return judged(featured, labels, prefix, risk, error).where(f"{prefix}kept").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
