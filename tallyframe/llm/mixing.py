@@ -202,27 +202,32 @@ def mixed_counts(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP) ->
 
     Needs ``doc_id``, ``text`` and ``source``; other columns are ignored. One row a row: ``doc_id``,
     ``size`` (words), ``source_size``, ``target`` (of its source), ``taken`` (words, repeats counted;
-    at most ``cap`` rounded up times the size). Null and blank texts have size 0. A null source is a
-    source. Repeated rows are taken on their own. The draw depends on ids and sources alone, so reruns
-    agree. An empty table gives no rows.
+    at most ``cap`` rounded up times the size), ``shards`` (where its copies lie, rising, joined by commas;
+    empty if it is not taken). Null and blank texts have size 0. A null source is a source. Repeated rows are taken on their own. The draw depends on ids and sources alone, so reruns
+    agree. An empty table gives no rows. A very long text is taken whole or left out, like any other.
     """
     rows = numbered(docs.select("doc_id", "source", "text"), ("text",))
     sources, draws, _ = plan(rows, weights, cap)
-    times = drawn(rows, sources, draws).groupBy("_row").agg(F.count("*").alias("times"))
+    # A row has at most ``cap`` rounded up copies, so its list of shards is short.
+    times = drawn(rows, sources, draws).groupBy("_row").agg(F.count("*").alias("times"), F.array_join(F.sort_array(F.collect_list("_shard")), ",").alias("shards"))
     return rows.join(times, "_row", "left").join(sources.select("_key", "source_size", "target"), "_key").select(
-        "doc_id", F.col("_size").alias("size"), "source_size", "target", (F.coalesce("times", F.lit(0)) * F.col("_size")).alias("taken"))
+        "doc_id", F.col("_size").alias("size"), "source_size", "target",
+        (F.coalesce("times", F.lit(0)) * F.col("_size")).alias("taken"), F.coalesce("shards", F.lit("")).alias("shards"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP) -> DataFrame:
     """The mix itself: the columns of ``docs`` with ``mix_copy`` and ``mix_shard``, a shard a partition in random order.
 
-    Texts are written once with their row number and travel once, to their shard.
+    Texts are written once with their row number and travel once, to their shard. Columns of ``docs`` may have
+    any name; its own ``mix_copy`` and ``mix_shard`` give way to those of the mix.
     """
-    rows = numbered(docs)
+    needed, others = ("doc_id", "text", "source"), [c for c in docs.columns if c.lower() not in ("doc_id", "text", "source")]
+    carried = {c: f"carried_{i}" for i, c in enumerate(others)}
+    rows = numbered(docs.select(*needed, *[F.col(f"`{c}`").alias(name) for c, name in carried.items()]))
     sources, draws, shards = plan(rows.drop("text"), weights, cap)
     mix = drawn(rows, sources, draws)
     dealt = mix.repartition(shards, "_shard").sortWithinPartitions("_shard", F.xxhash64(F.lit(SEED + 4), "_row", "_copy"))
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("mix_copy", "mix_shard")]
+    kept = [F.col(carried.get(c, c)).alias(c) for c in docs.columns if c.lower() not in ("mix_copy", "mix_shard")]
     return dealt.select(*kept, F.col("_copy").alias("mix_copy"), F.col("_shard").alias("mix_shard"))
 
 

@@ -3,8 +3,9 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tallyframe.llm.mixing import fill_block, mixed_counts, mixed_documents, op5_source_mixing, split_draws
+from tallyframe.llm.mixing import drawn, fill_block, in_blocks, mixed_counts, mixed_documents, numbered, op5_source_mixing, plan, split_draws
 
 
 def shares(sizes):
@@ -94,6 +95,36 @@ def test_mix_holds_what_is_taken(spark, docs):
     assert {k: v for k, v in got.items() if v} == want and len(shards) > 1
 
 
+def test_shards_of_documents_follow_the_tree(spark, docs):
+    df = spark.createDataFrame([(i, t, s) for i, t, s in docs], "doc_id long, text string, source string")
+    rows = numbered(df)
+    sources, draws, shards = plan(rows, shard_words=500)
+    dealt = draws.collect()
+    keys = sorted({d._key for d in dealt})
+    table = np.zeros((shards, len(keys)), int)
+    for d in dealt:
+        table[d._shard, keys.index(d._key)] += 1
+    assert (table == split_draws(table.sum(axis=0), shards)).all() and shards > 16
+    want = {}
+    for r in drawn(rows, sources, draws).collect():
+        want.setdefault(r.doc_id, []).append(r._shard)
+    assert len(in_blocks(rows, sources).where("_block is null").collect()) == 0
+    got = {r.doc_id: r.shards for r in mixed_counts(df).collect()}
+    tree = {}
+    for r in mixed_documents(df).collect():
+        tree.setdefault(r.doc_id, []).append(r.mix_shard)
+    assert got == {i: ",".join(map(str, sorted(tree.get(i, [])))) for i, _, _ in docs}
+    assert {i: len(s) for i, s in want.items()} == {i: len(s) for i, s in tree.items()}  # shards move rows, they change no copies
+
+
+def test_names_may_clash(spark):
+    names = ["_row", "_SIZE", "_key", "_block", "_copy", "carried_0", "times", "MIX_COPY"]
+    df = spark.createDataFrame([(i, "a b", "x" if i % 2 else "y") for i in range(50)], "doc_id long, text string, source string")
+    mix = mixed_documents(df.select(*[F.lit("mine").alias(n) for n in names], "*"))
+    assert mix.columns == names[:-1] + ["doc_id", "text", "source", "mix_copy", "mix_shard"]
+    assert mix.where("_row = 'mine' and _SIZE = 'mine' and carried_0 = 'mine'").count() == mix.count() > 0
+
+
 def test_edges(spark):
     one = spark.createDataFrame([(None, "a b", None), (1, "c", None), (1, "c", None)], "doc_id long, text string, source string")
     assert sum(r.taken for r in mixed_counts(one).collect()) == 4
