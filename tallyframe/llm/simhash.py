@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blocks, read_table, written
+from .common import blocks, read_table, unused, written
 from .graph import components
 
 SHINGLE = 3
@@ -150,26 +150,40 @@ def simhash_components(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return near_duplicates(keyed, radius).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def least_row(docs: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """``columns`` of one row for each value of ``keys``, merged on the map side: that of the smallest text digest.
+
+    Of equal texts the row of the smallest hash over the other columns stays; maps and variants do not count.
+    """
+    hashed = [f"`{c}`" for c in columns if not any(x in docs.schema[c].dataType.simpleString() for x in ("map<", "variant"))]
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    order = F.struct(F.sha2(F.col("text"), 256), F.xxhash64(*hashed))
+    name = unused(columns, "_least")
+    least = docs.groupBy(*[f"`{k}`" for k in keys]).agg(F.min_by(row, order).alias(name))
+    return least.select(*[F.col(name)[f"c{i}"].alias(c) for i, c in enumerate(columns)])
+
+
 def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each near-duplicate class: that of the smallest ``doc_id``.
 
-    Rows that share their ``doc_id`` are one document and leave one row. Rows without an id stay only
-    where their class has no id at all, again one row a class. Texts are read twice and travel once.
+    Rows that share their ``doc_id`` are one document and leave one row, that of the smallest text digest.
+    Rows without an id stay only where their class has no id at all, again one row a class. Columns may have
+    any names. Texts are read twice and travel once.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    fp, root = unused(docs.columns, "_fp"), unused(docs.columns, "_root")
     keyed = written(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fp"), "fingerprints")
     classes = written(near_duplicates(keyed, radius).select("doc_id", "fp", "component_id"), "classes")
     stay = classes.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    named = least_row(docs.join(stay, "doc_id", "left_semi"), ["doc_id"], docs.columns)
     # Nameless classes are rare: their rows find each other by the class's smallest fingerprint.
     nameless = classes.where("component_id is null")
     if nameless.isEmpty():
-        return named.select(*columns)
+        return named
     nodes = nameless.select("fp").distinct()
-    roots = components(close_pairs(nodes, radius)).select(F.col("node").alias("_fp"), F.col("root").alias("_top"))
-    rest = with_fingerprint(docs.where("doc_id is null"), "_fp").join(nodes.withColumnRenamed("fp", "_fp"), "_fp", "left_semi")
-    rest = rest.join(roots, "_fp", "left").withColumn("_root", F.coalesce("_top", "_fp")).dropDuplicates(["_root"])
-    return named.select(*columns).unionByName(rest.select(*columns))
+    roots = components(close_pairs(nodes, radius)).withColumnsRenamed({"node": "fp", "root": "top"})
+    roots = nodes.join(roots, "fp", "left").select(F.col("fp").alias(fp), F.coalesce("top", "fp").alias(root))
+    rest = with_fingerprint(docs.where("doc_id is null"), fp).join(roots, fp)
+    return named.unionByName(least_row(rest, [root], docs.columns))
 
 
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -82,6 +82,13 @@ def test_documents(spark):
     assert one_of_each(df.limit(0)).count() == 0
 
 
+def test_kept_row_does_not_depend_on_partitions(spark):
+    rows = [(1, f"text number {i} of one id", None, f"{i % 3}", {"k": i}) for i in range(20)] + [(None, "no id at all", "a", f"{i}", None) for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _root string, _fp string, m map<string,int>")
+    got = {tuple(sorted(((r.text, r._root, r._fp) for r in one_of_each(df.repartition(n, "_fp", "text")).collect()))) for n in (1, 3, 8)}
+    assert len(got) == 1 and len(next(iter(got))) == 2
+
+
 def test_all_test_documents_against_brute_force(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     want = classes({r.doc_id: plain(r.text) for r in df.collect()})
