@@ -7,14 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import ordered_counts
+from .ordering import broadcast_if_small, ordered_counts, rows_that_fit
 from .splits import key_digest
 
 
 def group_sample(df: DataFrame, group: str, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """At most ``n`` rows per group. Each task keeps ``n`` rows per group before the shuffle."""
-    order = Window.partitionBy(group).orderBy(key_digest(key, seed), *key)
-    return df.withColumn("draw", F.row_number().over(order)).where(F.col("draw") <= n).drop("draw")
+    """At most ``n`` rows per group: those of its smallest key digests.
+
+    The first four characters of the digests are counted first. Only rows up to the count that reaches
+    ``n`` are ordered, so no task sorts its whole input, and what a group sends on is hardly more than ``n`` rows.
+    """
+    digest = key_digest(key, seed)
+    head = F.conv(F.substring(digest, 1, 4), 16, 10).cast("int").alias("_head")
+    heads = df.select(F.col(group).alias("_group"), head).groupBy("_group", "_head").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy("_group").orderBy("_head"))
+    last = heads.withColumn("_before", upto - F.col("_n")).where(F.col("_before") < n).groupBy("_group").agg(F.max("_head").alias("_last"))
+    low = df.withColumn("_head", head).join(broadcast_if_small(last, rows_that_fit(2)), F.col(group).eqNullSafe(F.col("_group"))).where(F.col("_head") <= F.col("_last"))
+    order = Window.partitionBy(group).orderBy(digest, *key)
+    return low.withColumn("draw", F.row_number().over(order)).where(F.col("draw") <= n).select(*df.columns)
 
 
 def uniform_sample(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:

@@ -146,3 +146,17 @@ def test_decile_edges_drop_repeats(spark):
     assert edges == sorted(set(edges)) and edges[0] == 0
     table = rel.binned_response(df, "v", F.lit(1.0), edges, include_lowest=True)
     assert table.agg(F.sum("count")).first()[0] == 100
+
+
+def test_group_sample_orders_few_rows(spark):
+    """Null groups, repeated keys and small groups; only rows with low digests reach the ordering."""
+    from tallyframe.operators import sampling as sm
+    from tallyframe.operators.splits import key_digest
+
+    df = spark.range(6000).select((F.col("id") % 5000).alias("k"), F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "b").when(F.col("id") < 20, "c").alias("g"))
+    got = sm.group_sample(df, "g", ["k"], 50)
+    rows = df.withColumn("d", key_digest(["k"], 42)).toPandas()
+    for group, part in rows.groupby("g", dropna=False):
+        want = part.sort_values(["d", "k"])["k"].head(50).tolist()
+        assert sorted(r.k for r in got.where(F.col("g").eqNullSafe(F.lit(None if pd.isna(group) else group))).collect()) == sorted(want)
+    assert got.columns == df.columns and "_head" in got._jdf.queryExecution().optimizedPlan().toString()
