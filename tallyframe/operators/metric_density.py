@@ -19,11 +19,13 @@ from .metric_index import ROOM, MetricIndex, build, compare, joined, matrix, nea
 
 def local_roots(touch: np.ndarray) -> np.ndarray:
     """Column-side component per left row of a boolean contact matrix: a settled minimum over shared contacts."""
-    right = np.arange(touch.shape[1])
-    far = touch.shape[1]
+    right, far = np.arange(touch.shape[1]), touch.shape[1]
+    i, j = np.nonzero(touch)
     while True:
-        left = np.where(touch, right[None, :], far).min(axis=1)
-        merged = np.minimum(right, np.where(touch, left[:, None], far).min(axis=0))
+        left = np.full(touch.shape[0], far)
+        np.minimum.at(left, i, right[j])
+        merged = right.copy()
+        np.minimum.at(merged, j, left[i])
         if np.array_equal(merged, right):
             return left
         right = merged
@@ -40,7 +42,7 @@ def core_rows(index: MetricIndex, pairs: DataFrame, eps: float, min_samples: int
         x, y, weight, out = matrix(a), matrix(b), b["weight"].to_numpy(), np.zeros(len(a), np.int64)
         for _, mine, near in products(a, b, eps):
             there = joined(near)
-            out[mine] = within(x[mine], y[there], eps) @ weight[there]
+            out[mine] = within(x[mine], y[there], eps) @ weight[there].astype(float)  # exact up to 2 ** 53
         return pd.DataFrame({"id": a["id"], "near": out})
 
     counted = compare(rows.where("not heavy").select("leaf", "id", "features"), rows.select("leaf", "id", "features", "weight"), light, count, "id long, near long")

@@ -127,3 +127,32 @@ def test_few_points_travel_to_the_queries(spark):
     d = mi.distances(asked, x)
     got = {r.id: (r.point, r.label, r.distance) for r in mi.nearest(table(spark, asked), points.withColumn("label", F.col("id") * 10), 1.0).collect()}
     assert got == {i: (int(d[i].argmin()), 10 * int(d[i].argmin()), d[i].min()) for i in range(700) if d[i].min() <= 1.0}
+
+
+def test_few_pairs_are_measured_one_by_one(monkeypatch):
+    """The nearest rows equal brute force far from the origin and with ties; hardly more than those are measured exactly."""
+    rng = np.random.default_rng(9)
+    x, y = rng.normal(0, 1, (200, 48)) + 1e4, np.vstack([rng.normal(0, 1, (6000, 48)), np.zeros((30, 48))]) + 1e4
+    x[:5] = y[-5:]
+    measured, plain = [], mi.exact
+    monkeypatch.setattr(mi, "exact", lambda a, b, i, j: (measured.append(len(i)), plain(a, b, i, j))[1])
+    weight = 1 + np.arange(len(y)) % 3
+    i, d, w = mi.smallest(x, y, weight, 7)
+    true = mi.distances(x, y)
+    for row in range(len(x)):
+        assert np.array_equal(np.repeat(d[i == row], w[i == row])[:7], np.sort(np.repeat(true[row], weight))[:7])
+    best, away = mi.nearest_one(x, y, np.arange(len(y))[::-1])
+    assert np.array_equal(away, true.min(1)) and np.array_equal(best[:5], np.full(5, len(y) - 1))
+    assert sum(measured) < len(x) * len(y) / 100
+
+
+def test_rows_travel_to_a_set_number_of_bundles(spark, monkeypatch):
+    """Small pivots share bundles: twenty times the leaves make no more tasks than ``BUNDLES`` and the slices ask for."""
+    for name, value in {"LEAF_ROWS": 4, "PIVOT_ROWS": 16, "SLICE_ROWS": 100_000, "BUNDLE_LEAVES": 1, "BUNDLES": 4}.items():
+        monkeypatch.setattr(mi, name, value)
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (800, 10))
+    index = mi.build(table(spark, x).withColumn("weight", F.lit(1).cast("long")))
+    assert len(index.pivots) == 50
+    tasks = mi.compare(index.rows, index.rows, mi.near_leaves(index, index, 100.0), lambda a, b: pd.DataFrame({"rows": [len(a)], "others": [len(b)]}), "rows long, others long").toPandas()
+    assert tasks["rows"].sum() == 800 and (tasks["others"] == 800).all() and len(tasks) <= 6

@@ -89,3 +89,16 @@ def test_drawn_members_keep_the_stated_error(spark):
     assert np.sqrt(np.mean(np.square(off))) < error and abs(np.mean(off)) < error / 4
     two = df.withColumn("cluster", (F.col("id") % 2).cast("long"))
     assert si.euclidean_silhouette(two, "id", error=0.1).first()[0] == pytest.approx(plain_silhouette(x, np.arange(2000) % 2).mean(), abs=0.05)
+
+
+def test_many_small_clusters_send_on_two_sums_a_row(spark):
+    """Of clusters that fit into a block a row keeps its own and the nearest; scores stay those of all pairs."""
+    rng = np.random.default_rng(6)
+    x, label = rng.normal(0, 1, (240, 5)), np.arange(240) // 3
+    df = spark.createDataFrame(pd.DataFrame({"part": 0, "id": range(240), "cluster": label, "features": list(map(list, x))}))
+    members = df.withColumns({"weight": F.lit(1.0), "size": F.lit(3)})
+    assert si.distance_sums(df, members, only_nearest=True).count() == 2 * 240
+    got = {r.id: r.silhouette for r in si.silhouettes(df, 0).collect()}
+    assert all(got[i] == pytest.approx(s, abs=1e-7) for i, s in enumerate(plain_silhouette(x, label)))
+    split = si.distance_sums(df, members, block_rows=2, only_nearest=True)  # clusters larger than a block keep every sum
+    assert split.count() == 240 * 80
