@@ -102,3 +102,20 @@ def test_many_small_clusters_send_on_two_sums_a_row(spark):
     assert all(got[i] == pytest.approx(s, abs=1e-7) for i, s in enumerate(plain_silhouette(x, label)))
     split = si.distance_sums(df, members, block_rows=2, only_nearest=True)  # clusters larger than a block keep every sum
     assert split.count() == 240 * 80
+
+
+def test_a_pass_is_one_stage_over_blocks(spark, monkeypatch):
+    """Rows are packed once, whole and in blocks of a set size; a pass shuffles nothing."""
+    monkeypatch.setattr(ks, "BLOCK_VALUES", 4 * 30)
+    rng = np.random.default_rng(7)
+    x = blobs(rng, 200)
+    blocks = ks.blocks_of(rows_of(spark, x, 3))
+    sizes = [r.n for r in blocks.collect()]
+    assert sum(sizes) == 200 and max(sizes) == 30
+    spark.sparkContext.setJobGroup("sweep", "")
+    found = ks.sums(blocks, ks.by_cluster([x[:2], x[:5]]))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    assert [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("sweep")] == [1]
+    best = distances(x, x[:5]).argmin(1)
+    assert all(np.allclose(found[1, c], [(best == c).sum(), *x[best == c].sum(0)]) for c in range(5))
