@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
-from .metric_index import ROOM, MetricIndex, build, compare, joined, matrix, near_leaves, products, touches, within
+from .metric_index import ROOM, MetricIndex, Neighbours, build, compare, matrix, near_leaves, places, products, touches, within
 
 
 def local_roots(touch: np.ndarray) -> np.ndarray:
     """Column-side component per left row of a boolean contact matrix: a settled minimum over shared contacts."""
     right, far = np.arange(touch.shape[1]), touch.shape[1]
-    i, j = np.nonzero(touch)
+    i, j = places(touch)
     while True:
         left = np.full(touch.shape[0], far)
         np.minimum.at(left, i, right[j])
@@ -39,10 +39,11 @@ def core_rows(index: MetricIndex, pairs: DataFrame, eps: float, min_samples: int
     light = pairs.join(pieces.select(F.col("leaf").alias("a")), "a", "left_anti")
 
     def count(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        x, y, weight, out = matrix(a), matrix(b), b["weight"].to_numpy(), np.zeros(len(a), np.int64)
+        x, y, weight, out = matrix(a), Neighbours(matrix(b)), b["weight"].to_numpy(), np.zeros(len(a), np.int64)
         for _, mine, near in products(a, b, eps):
-            there = joined(near)
-            out[mine] = within(x[mine], y[there], eps) @ weight[there].astype(float)  # exact up to 2 ** 53
+            there, lines = y.take(near)
+            i, j = places(within(x[mine], lines, eps))
+            out[mine] = np.bincount(i, weight[there][j], mine.stop - mine.start)  # exact up to 2 ** 53
         return pd.DataFrame({"id": a["id"], "near": out})
 
     counted = compare(rows.where("not heavy").select("leaf", "id", "features"), rows.select("leaf", "id", "features", "weight"), light, count, "id long, near long")
@@ -65,6 +66,7 @@ def core_links(rows: DataFrame, pairs: DataFrame, eps: float) -> DataFrame:
 
     def link(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         x, y = matrix(a), matrix(b)
+        others = Neighbours(y)
         heavy_a, heavy_b, node_a, node_b, core = (f[c].to_numpy() for f, c in ((a, "heavy"), (b, "heavy"), (a, "node"), (b, "node"), (a, "is_core")))
         found = [pd.DataFrame({"a": [], "b": [], "border": []})]
         for name, mine, near in products(a, b, eps):
@@ -72,8 +74,8 @@ def core_links(rows: DataFrame, pairs: DataFrame, eps: float) -> DataFrame:
                 met = [node_b[s.start] for other, s in near if other > name and heavy_b[s.start] and touches(x[mine], y[s], eps)]
                 found.append(pd.DataFrame({"a": node_a[mine.start], "b": met, "border": False}))
                 continue
-            there = joined(near)
-            touch, here = within(x[mine], y[there], eps), core[mine]
+            there, lines = others.take(near)
+            touch, here = within(x[mine], lines, eps), core[mine]
             inner = touch[here]
             if inner.any():
                 # A few links keep the connectivity: each left row to one node of its local component, and that component's nodes.
@@ -81,7 +83,7 @@ def core_links(rows: DataFrame, pairs: DataFrame, eps: float) -> DataFrame:
                 roots, linked, first = local_roots(inner[reached]), inner.any(axis=0), inner[reached].argmax(axis=0)
                 found.append(pd.DataFrame({"a": node_a[mine][here][reached], "b": node_b[there][roots], "border": False}))
                 found.append(pd.DataFrame({"a": node_b[there][linked], "b": node_b[there][roots[first[linked]]], "border": False}))
-            i, j = np.nonzero(touch[~here])
+            i, j = places(touch[~here])
             found.append(pd.DataFrame({"a": a["id"].to_numpy()[mine][~here][i], "b": node_b[there][j], "border": True}))
         links = pd.concat(found[1:] or found)
         return links[links["border"].astype(bool) | (links["a"] != links["b"])].drop_duplicates()
