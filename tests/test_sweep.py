@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tallyframe.operators import cluster as cl
 from tallyframe.operators import kmeans_sweep as ks
 from tallyframe.operators import silhouette as si
 from tests.test_clusters import distances
@@ -119,3 +120,36 @@ def test_a_pass_is_one_stage_over_blocks(spark, monkeypatch):
     assert [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("sweep")] == [1]
     best = distances(x, x[:5]).argmin(1)
     assert all(np.allclose(found[1, c], [(best == c).sum(), *x[best == c].sum(0)]) for c in range(5))
+
+
+def test_models_share_the_members_drawn_for_their_silhouettes(spark):
+    """Whole clusters give exact scores; drawn ones come near them with fewer members than each model would draw by itself."""
+    rng = np.random.default_rng(8)
+    x = blobs(rng, 900)
+    blocks = ks.blocks_of(rows_of(spark, x, 4))
+    models = ks.fit_all(rows_of(spark, x, 4), [(k, 1) for k in (1, 3, 5, 8)], blocks=blocks)
+    ks.measure_all(rows_of(spark, x), models, blocks)
+    d, want = distances(x, x), [None]
+    for model in models[1:]:
+        label = distances(x, model.centres).argmin(1)
+        means = np.stack([d[:, label == c].sum(1) / np.maximum((label == c).sum() - (label == c), 1) for c in range(model.k)], axis=1)
+        inside = means[np.arange(900), label]
+        means[np.arange(900), label] = np.inf
+        want.append(((means.min(1) - inside) / np.maximum(means.min(1), inside)).mean())
+    assert ks.drawn_scores(blocks, models, float("inf")) == [None, *(pytest.approx(w, rel=1e-6) for w in want[1:])]
+    drawn, weight, _ = ks.drawn_together(blocks, models, 60.0)
+    assert len(drawn) < 0.6 * 60 * (1 + 3 + 5 + 8) and weight.sum() == pytest.approx(900, rel=0.15)
+    assert ks.drawn_scores(blocks, models, 60.0)[1:] == [pytest.approx(w, abs=0.03) for w in want[1:]]
+
+
+def test_a_repeated_row_is_one_row_of_the_mean_silhouette(spark):
+    """It still counts in its cluster as often as it comes."""
+    x = np.array([[0.0], [1.0], [1.0], [8.0], [9.5], [9.5], [9.5]])
+    ids = [0, 1, 1, 2, 3, 3, 4]
+    df = spark.createDataFrame(pd.DataFrame({"id": ids, "features": [list(map(float, r)) for r in x]}))
+    table, _ = cl.kmeans_sweep(df, "id", [2], seeds=[1])
+    label, d, scores = (x[:, 0] > 4).astype(int), distances(x, x), []
+    for i in (0, 1, 3, 4, 6):
+        inside, outside = d[i, label == label[i]].sum() / ((label == label[i]).sum() - 1), d[i, label != label[i]].mean()
+        scores.append((outside - inside) / max(inside, outside))
+    assert table.first()["silhouette"] == pytest.approx(np.mean(scores), rel=1e-6)
